@@ -85,31 +85,31 @@ _RAW = _RAW_WIDE.format(date="InvoiceDate, ")
 _LINE = "InvoiceNo, l_linenumber, StockCode"
 
 
-def _hash(key: str, size: int) -> str:
-    return f"(cast('0x' || substr(md5({key}), 1, 8) as ubigint) % {size})"
+def _hash(key: str, size: int, part: int = 0) -> str:
+    return f"(cast('0x' || substr(md5({key}), {1 + 8 * part}, 8) as ubigint) % {size})"
 
 
-def _draw(field: str, size: int) -> str:
-    return f"cast({_hash(f"'42|{field}|' || cast(id as varchar)", size)} as bigint)"
+def _draw(digest: int, part: int, size: int) -> str:
+    return f"cast({_hash(f"'42|{digest}|' || cast(id as varchar)", size, part)} as bigint)"
 
 
-def _pick(field: str, values: tuple[str, ...]) -> str:
+def _pick(digest: int, part: int, values: tuple[str, ...]) -> str:
     listed = ", ".join(f"'{v}'" for v in values)
-    return f"([{listed}])[{_draw(field, len(values))} + 1]"
+    return f"([{listed}])[{_draw(digest, part, len(values))} + 1]"
 
 
 _SYNTHETIC = f"""
 with ids as (select l_orderkey * 10 + l_linenumber as id from lineitem)
 select printf('I%06d', id) as InvoiceNo,
-       printf('S%03d', {_draw('stock', synthetic.STOCK_CODES)} + {synthetic.FIRST_STOCK_CODE}) as StockCode,
-       printf('Product %d', {_draw('product', synthetic.PRODUCTS)} + 1) as Description,
-       cast({_draw('quantity', synthetic.MAX_QUANTITY)} + 1 as int) as Quantity,
-       strftime(timestamp '2024-01-01 12:00:00' - to_days(cast({_draw('day', synthetic.DAYS_BACK)} + 1 as int)),
+       printf('S%03d', {_draw(0, 0, synthetic.STOCK_CODES)} + {synthetic.FIRST_STOCK_CODE}) as StockCode,
+       printf('Product %d', {_draw(0, 1, synthetic.PRODUCTS)} + 1) as Description,
+       cast({_draw(0, 2, synthetic.MAX_QUANTITY)} + 1 as int) as Quantity,
+       strftime(timestamp '2024-01-01 12:00:00' - to_days(cast({_draw(0, 3, synthetic.DAYS_BACK)} + 1 as int)),
                 '%d/%m/%Y %H:%M') as InvoiceDate,
-       ({_draw('price', synthetic.MAX_PRICE_CENTS - synthetic.MIN_PRICE_CENTS + 1)} + {synthetic.MIN_PRICE_CENTS})
+       ({_draw(1, 0, synthetic.MAX_PRICE_CENTS - synthetic.MIN_PRICE_CENTS + 1)} + {synthetic.MIN_PRICE_CENTS})
          / 100.0::double as UnitPrice,
-       {_draw('customer', synthetic.CUSTOMERS)} + {synthetic.FIRST_CUSTOMER} as CustomerID,
-       {_pick('country', synthetic.COUNTRIES)} as Country
+       {_draw(1, 1, synthetic.CUSTOMERS)} + {synthetic.FIRST_CUSTOMER} as CustomerID,
+       {_pick(1, 2, synthetic.COUNTRIES)} as Country
 from ids"""
 
 _RUN_LOG = f"""with {_FUNNEL},

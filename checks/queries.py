@@ -26,12 +26,15 @@ from tillstone.schema import AUDIT_COLUMN, GOLD_DDL, RAW_COLUMNS, SILVER_DDL, br
 from tillstone.sources.csv_files import read_retail_csv, with_audit, write_retail_csv
 from tillstone.sources.layers import LayerStore
 from tillstone.sources.paths import scratch_dir
-from tillstone.sources.star import retail_from_star
+from tillstone.sources.star import retail_from_star, star_table
 from tillstone.sources.synthetic import retail_from_ids
 
 INGESTED_AT = datetime(2024, 1, 1)
 LINE = "l_linenumber"
-BUSINESS_COLUMNS = ("InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice", "CustomerID", "Country")
+LINE_SILVER_DDL = (
+    "InvoiceNo string, StockCode string, Description string, Quantity int, UnitPrice double, "
+    f"CustomerID bigint, Country string, {LINE} int"
+)
 SPLIT_KEYS = ("InvoiceNo", LINE, "StockCode")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,16 +170,24 @@ def gold_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthetic_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = star_table(spark, sf_dir, "lineitem")
     return retail_from_ids(lines.select((F.col("l_orderkey") * 10 + F.col(LINE)).alias("id")))
 
 
 # --- features and model ------------------------------------------------------------
 
 
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once, for queries that fit on it and then transform it."""
+    store = _store(spark, "silver")
+    rows = silver(spark, sf_dir)
+    store.overwrite("silver", rows)
+    return store.read("silver", LINE_SILVER_DDL)
+
+
 def _indexed(column: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = silver(spark, sf_dir)
+        rows = stored_silver(spark, sf_dir)
         labels = fit_labels(rows, column, scratch_dir(spark, "labels"))
         keys = dict.fromkeys(("InvoiceNo", LINE, "StockCode", column, INDEXED[column]))
         return index_column(rows, labels, column, INDEXED[column]).select(*keys)
@@ -190,7 +201,7 @@ def _unnested(rows: DataFrame, vector: str) -> DataFrame:
 
 
 def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver(spark, sf_dir)
+    rows = stored_silver(spark, sf_dir)
     path = scratch_dir(spark, "labels")
     indexed = rows
     for column, output in INDEXED.items():
@@ -199,7 +210,7 @@ def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scale_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver(spark, sf_dir)
+    rows = stored_silver(spark, sf_dir)
     scaled = fit_features(rows, scratch_dir(spark, "features")).transform(rows)
     wide = _unnested(scaled, "scaledFeatures")
     return wide.withColumns({c: F.round(c, 6) for c in FEATURE_COLUMNS})
@@ -232,7 +243,8 @@ def eval_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = TrainingOptions(num_trees=20, max_depth=5, split_keys=SPLIT_KEYS)
-    data = prepare(silver(spark, sf_dir), options, scratch_dir(spark, "forest"), carry=("InvoiceNo", LINE, "StockCode"))
+    rows = stored_silver(spark, sf_dir)
+    data = prepare(rows, options, scratch_dir(spark, "forest"), carry=SPLIT_KEYS)
     return fit_forest(data.train, options).transform(data.test).drop("scaledFeatures")
 
 

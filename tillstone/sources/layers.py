@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillstone.sources.paths import child_names, exists
 
@@ -47,9 +48,11 @@ class LayerStore:
     def read(self, layer: str, ddl: str) -> DataFrame:
         """Current version under a declared schema, which also types partition values.
 
-        Null and empty partition values both read back as null.
+        Null and empty partition values both read back as null. Columns come
+        in the declared order wherever the files keep them.
         """
-        return self.spark.read.schema(ddl).format(self.fmt).load(self.current_path(layer))
+        rows = self.spark.read.schema(ddl).format(self.fmt).load(self.current_path(layer))
+        return rows.select(*StructType.fromDDL(ddl).names)
 
     def overwrite(
         self,

@@ -27,16 +27,26 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new directory for intermediate tables, under the cluster's shared folder.
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's folder for intermediate data, ``spark.checkpoint.dir``.
 
-    The folder is ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a temporary folder, because executors on other machines could
-    not read it.
+    Only a local session without that setting gets a temporary folder, because
+    executors on other machines could not read it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tillstone-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return tempfile.mkdtemp(prefix="tillstone-")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new directory for an intermediate table."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give iterative fits a place to cut their lineage, unless the session has one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -17,28 +17,43 @@ MIN_PRICE_CENTS, MAX_PRICE_CENTS = 50, 5000
 FIRST_CUSTOMER, CUSTOMERS = 10000, 10000
 
 
-def retail_from_ids(ids: DataFrame, id_column: str = "id", seed: int = 42, anchor: str = "2024-01-01 12:00:00") -> DataFrame:
-    """One raw retail row per id, each value drawn from a hash of (seed, field, id).
+# Which digest and which part of it each field is drawn from.
+_DRAWS = {
+    "stock": (0, 0),
+    "product": (0, 1),
+    "quantity": (0, 2),
+    "day": (0, 3),
+    "price": (1, 0),
+    "customer": (1, 1),
+    "country": (1, 2),
+}
+
+
+def retail_from_ids(
+    ids: DataFrame, id_column: str = "id", seed: int = 42, anchor: str = "2024-01-01 12:00:00"
+) -> DataFrame:
+    """One raw retail row per id, each value drawn from an MD5 of (seed, digest number, id).
 
     No shuffle and no random state: the rows do not depend on how ids are partitioned.
+    Dates lie within the year before ``anchor`` and carry its time of day.
     """
+    row_id = F.col(id_column).cast("string")
 
     def draw(field: str, size: int) -> Column:
-        return hash_bucket(F.concat(F.lit(f"{seed}|{field}|"), F.col(id_column).cast("string")), size)
+        digest, part = _DRAWS[field]
+        return hash_bucket(F.concat(F.lit(f"{seed}|{digest}|"), row_id), size, part)
 
-    back = (draw("day", DAYS_BACK) + 1).cast("int")
-    day = F.date_sub(F.lit(anchor).cast("date"), back)
+    day = F.date_sub(F.lit(anchor).cast("date"), (draw("day", DAYS_BACK) + 1).cast("int"))
+    country = F.element_at(F.array(*(F.lit(c) for c in COUNTRIES)), (draw("country", len(COUNTRIES)) + 1).cast("int"))
     return ids.select(
-        F.format_string("I%06d", F.col(id_column)).alias("InvoiceNo"),
-        F.format_string("S%03d", draw("stock", STOCK_CODES) + FIRST_STOCK_CODE).alias("StockCode"),
-        F.format_string("Product %d", draw("product", PRODUCTS) + 1).alias("Description"),
+        F.concat(F.lit("I"), F.lpad(row_id, F.greatest(F.lit(6), F.length(row_id)), F.lit("0"))).alias("InvoiceNo"),
+        F.concat(F.lit("S"), draw("stock", STOCK_CODES) + FIRST_STOCK_CODE).alias("StockCode"),
+        F.concat(F.lit("Product "), draw("product", PRODUCTS) + 1).alias("Description"),
         (draw("quantity", MAX_QUANTITY) + 1).cast("int").alias("Quantity"),
         F.concat(F.date_format(day, "dd/MM/yyyy "), F.lit(anchor[11:16])).alias("InvoiceDate"),
         ((draw("price", MAX_PRICE_CENTS - MIN_PRICE_CENTS + 1) + MIN_PRICE_CENTS) / 100).alias("UnitPrice"),
         (draw("customer", CUSTOMERS) + FIRST_CUSTOMER).alias("CustomerID"),
-        F.element_at(
-            F.array(*(F.lit(c) for c in COUNTRIES)), (draw("country", len(COUNTRIES)) + 1).cast("int")
-        ).alias("Country"),
+        country.alias("Country"),
     )
 
 
