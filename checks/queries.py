@@ -180,8 +180,7 @@ def synthetic_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written once, for queries that fit on it and then transform it."""
     store = _store(spark, "silver")
-    rows = silver(spark, sf_dir)
-    store.overwrite("silver", rows)
+    store.overwrite("silver", silver(spark, sf_dir), rebalance_by=("Country",))
     return store.read("silver", LINE_SILVER_DDL)
 
 

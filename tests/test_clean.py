@@ -1,0 +1,151 @@
+"""Cleaning rules and the stage counts."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tillstone.operators import clean as c
+from tillstone.operators.guards import MissingColumnsError
+from tillstone.schema import SILVER_COLUMNS
+from tillstone.sources.csv_files import with_audit
+
+NAN, INF = float("nan"), float("inf")
+
+
+def test_silver_schema(bronze):
+    out = c.clean(with_audit(bronze({})))
+    assert out.columns == list(SILVER_COLUMNS)
+    assert dict(out.dtypes) == {
+        "InvoiceNo": "string",
+        "StockCode": "string",
+        "Description": "string",
+        "Quantity": "int",
+        "UnitPrice": "double",
+        "CustomerID": "bigint",
+        "Country": "string",
+        "ingestion_timestamp": "timestamp",
+    }
+
+
+@pytest.mark.parametrize("quantity, kept", [(1, True), (0, False), (-3, False), (None, False)])
+def test_quantity_filter(bronze, quantity, kept):
+    assert (c.clean(bronze({"Quantity": quantity})).count() == 1) is kept
+
+
+@pytest.mark.parametrize("price, kept", [(0.01, True), (0.0, False), (-1.0, False), (None, False), (NAN, True)])
+def test_price_filter_lets_nan_pass(bronze, price, kept):
+    assert (c.clean(bronze({"UnitPrice": price})).count() == 1) is kept
+
+
+def test_nan_price_can_be_rejected(bronze):
+    assert c.clean(bronze({"UnitPrice": NAN}, {}), reject_nan_price=True).count() == 1
+
+
+def test_nan_price_passes_from_stored_files_too(spark, bronze, tmp_path):
+    """Pushed-down file statistics must not drop what the filter keeps."""
+    bronze({"UnitPrice": NAN}, {"UnitPrice": -1.0}, {"UnitPrice": 0.0}).coalesce(1).write.parquet(str(tmp_path / "b"))
+    rows = c.clean(spark.read.parquet(str(tmp_path / "b"))).collect()
+    assert len(rows) == 1 and math.isnan(rows[0].UnitPrice)
+
+
+@pytest.mark.parametrize("customer, kept", [(7.0, True), (0.0, True), (None, False), (NAN, False), (INF, False), (1e30, False)])
+def test_customer_filter(bronze, customer, kept):
+    assert (c.clean(bronze({"CustomerID": customer})).count() == 1) is kept
+
+
+def test_customer_of_integer_type(spark, bronze):
+    rows = bronze({}, {"CustomerID": None}).withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
+    assert [r.CustomerID for r in c.clean(rows).collect()] == [7]
+
+
+def test_cancelled_invoices_are_judged_by_quantity_only(bronze):
+    kept = c.clean(bronze({"InvoiceNo": "C1", "Quantity": 2}, {"InvoiceNo": "C2", "Quantity": -2}))
+    assert [r.InvoiceNo for r in kept.collect()] == ["C1"]
+
+
+@pytest.mark.parametrize("text, trimmed", [("  a\t ", "a\t"), ("\u00a0a ", "\u00a0a"), ("  ", ""), (None, None)])
+def test_trim_strips_spaces_only(bronze, text, trimmed):
+    row = c.clean(bronze({"Country": text, "Description": text})).first()
+    assert (row.Country, row.Description) == (trimmed, trimmed)
+
+
+def test_trim_skips_columns_that_are_not_strings(spark):
+    df = spark.createDataFrame([(1, " x ")], "StockCode int, Country string")
+    assert c.trim_strings(df).first() == (1, "x")
+
+
+def test_price_goes_through_float32(bronze):
+    assert c.clean(bronze({"UnitPrice": 2.55})).first().UnitPrice == 2.549999952316284
+
+
+def test_duplicates_are_kept(bronze):
+    assert c.clean(bronze({}, {})).count() == 2
+
+
+def test_drop_date_without_one(bronze):
+    assert c.drop_invoice_date(bronze({}).drop("InvoiceDate")).columns == bronze({}).drop("InvoiceDate").columns
+
+
+def test_text_measures_that_do_not_parse_become_null(spark):
+    df = spark.createDataFrame([("abc", "x"), ("3", "2.5")], "Quantity string, UnitPrice string")
+    assert c.cast_measures(df).collect() == [(None, None), (3, 2.5)]
+
+
+@pytest.mark.parametrize("column", ["Quantity", "UnitPrice", "CustomerID"])
+def test_missing_input_column_is_named(bronze, column):
+    with pytest.raises(MissingColumnsError, match=column):
+        c.clean(bronze({}).drop(column))
+
+
+def test_silver_without_optional_columns(bronze):
+    assert c.clean(bronze({}).drop("Country", "Description")).columns == [
+        "InvoiceNo",
+        "StockCode",
+        "Quantity",
+        "UnitPrice",
+        "CustomerID",
+    ]
+
+
+def test_funnel_counts(bronze):
+    rows = bronze({}, {"Quantity": 0}, {"UnitPrice": 0.0}, {"CustomerID": NAN}, {"CustomerID": INF}, {"CustomerID": None})
+    assert c.cleaning_funnel(rows).first().asDict() == {
+        "bronze_rows": 6,
+        "after_quantity": 5,
+        "after_price": 4,
+        "after_customer": 2,
+        "silver_rows": 1,
+    }
+
+
+def test_funnel_of_no_rows(bronze):
+    assert set(c.cleaning_funnel(bronze({}).limit(0)).first()) == {0}
+
+
+numbers = st.one_of(st.none(), st.floats(width=32), st.integers(-5, 5).map(float))
+raw_rows = st.fixed_dictionaries(
+    {
+        "Quantity": st.one_of(st.none(), st.integers(-3, 3)),
+        "UnitPrice": numbers,
+        "CustomerID": numbers,
+        "Country": st.one_of(st.none(), st.text(alphabet=" ab\t", max_size=4)),
+    }
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(raw_rows, min_size=1, max_size=12))
+def test_cleaning_properties(bronze, rows):
+    raw = bronze(*rows)
+    once = c.clean(raw)
+    result = sorted(once.collect(), key=str)
+    assert sorted(c.clean(once).collect(), key=str) == result
+    counts = list(c.cleaning_funnel(raw).first())
+    assert counts == sorted(counts, reverse=True)
+    assert counts[-1] == len(result)
+    assert all(r.CustomerID is not None and r.Quantity > 0 and not r.UnitPrice <= 0 for r in result)

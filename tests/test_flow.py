@@ -1,0 +1,136 @@
+"""The whole flow from CSV to registered model, and the runs table."""
+
+from __future__ import annotations
+
+import json
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillstone.operators.training import TrainingOptions
+from tillstone.plans import medallion as m
+from tillstone.plans.runs import RunLog
+from tillstone.sources.csv_files import write_retail_csv
+from tillstone.sources.layers import LayerStore
+from tillstone.sources.synthetic import synthetic_retail
+
+AT = datetime(2024, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def flow(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("flow")
+    raw = synthetic_retail(spark, 3000).withColumn(
+        "Quantity", F.when(F.col("CustomerID") % 10 == 0, -F.col("Quantity")).otherwise(F.col("Quantity"))
+    )
+    write_retail_csv(raw, str(root / "raw"))
+    cfg = m.FlowConfig(
+        str(root / "raw"),
+        str(root / "lake"),
+        ingested_at=AT,
+        training=TrainingOptions(num_trees=4, max_depth=3),
+    )
+    return cfg, m.run_flow(spark, cfg), LayerStore(spark, cfg.root)
+
+
+def test_counts(flow):
+    cfg, report, store = flow
+    assert report.funnel["bronze_rows"] == m.read_bronze(store, cfg).count() == 3000
+    assert report.funnel["silver_rows"] == m.read_silver(store).count()
+    assert 2500 < report.funnel["silver_rows"] < 2900
+
+
+def test_audit_column_reaches_silver(flow):
+    assert [r[0] for r in m.read_silver(flow[2]).select("ingestion_timestamp").distinct().collect()] == [AT]
+
+
+def test_gold_covers_silver(flow):
+    _, report, store = flow
+    gold = m.read_gold(store)
+    assert gold.count() == 4
+    assert gold.agg(F.sum("TotalTransactions")).first()[0] == report.funnel["silver_rows"]
+
+
+def test_run_is_recorded(flow):
+    cfg, report, store = flow
+    run = RunLog(store).read().where(F.col("run_id") == report.run_id).first()
+    assert (run.status, run.experiment, run.model_name, run.model_version) == (
+        "FINISHED",
+        cfg.experiment,
+        cfg.model_name,
+        1,
+    )
+    assert run.params["n_estimators"] == "4" and run.params["max_depth"] == "3"
+    assert set(run.metrics) == {"rmse", "r2"}
+    assert run.started_at <= run.ended_at
+    assert [f["name"] for f in json.loads(run.schemas["gold"])["fields"]][0] == "Country"
+    assert set(run.schemas) == {"bronze", "silver", "gold"}
+
+
+def test_saved_model_scores_alike(spark, flow):
+    cfg, report, store = flow
+    first, second = (RunLog(store).load_model(cfg.model_name, v) for v in (None, 1))
+    silver = m.read_silver(store)
+
+    def scores(model):
+        features, forest = model
+        return forest.transform(features.transform(silver)).agg(F.sum("prediction"), F.count("prediction")).first()
+
+    assert scores(first) == pytest.approx(scores(second))
+    assert scores(first)[1] == report.funnel["silver_rows"]
+
+
+def test_next_run_is_the_next_version(flow):
+    cfg, _, store = flow
+    m.train(store, cfg)
+    latest = RunLog(store).read().agg(F.max("model_version"), F.count("*")).first()
+    assert latest == (2, 2)
+
+
+def test_unknown_model(flow):
+    with pytest.raises(LookupError, match="nothing"):
+        RunLog(flow[2]).load_model("nothing")
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    def build(raw, **options):
+        write_retail_csv(raw, str(tmp_path / "raw"))
+        return m.FlowConfig(str(tmp_path / "raw"), str(tmp_path / "lake"), **options)
+
+    return build
+
+
+def test_without_rows_the_run_fails_quietly(spark, lake, caplog):
+    cfg = lake(synthetic_retail(spark, 0))
+    report = m.run_flow(spark, cfg)
+    store = LayerStore(spark, cfg.root)
+    assert report.funnel["bronze_rows"] == 0 and m.read_gold(store).count() == 0
+    run = RunLog(store).read().first()
+    assert (run.status, run.metrics, run.model_path) == ("FAILED", {}, None)
+    assert "no rows" in caplog.text
+
+
+def test_failing_fit_is_recorded_and_raised(spark, lake):
+    raw = synthetic_retail(spark, 50).withColumn("StockCode", F.lit(None).cast("string"))
+    cfg = lake(raw, training=TrainingOptions(num_trees=1, max_depth=2))
+    with pytest.raises(Exception, match="StockCode value null"):
+        m.run_flow(spark, cfg)
+    assert [r.status for r in RunLog(LayerStore(spark, cfg.root)).read().collect()] == ["FAILED"]
+
+
+def test_second_run_replaces_the_layers(spark, lake, tmp_path):
+    cfg = lake(synthetic_retail(spark, 200), training=TrainingOptions(num_trees=1, max_depth=2))
+    m.run_flow(spark, cfg)
+    write_retail_csv(synthetic_retail(spark, 100), str(tmp_path / "raw2"))
+    m.run_flow(spark, replace(cfg, raw_path=str(tmp_path / "raw2"), partition_gold=False))
+    store = LayerStore(spark, cfg.root)
+    assert m.read_bronze(store, cfg).count() == 100
+    assert m.read_gold(store).agg(F.sum("TotalTransactions")).first()[0] == 100
+
+
+def test_missing_file_stops_the_flow(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)path"):
+        m.run_flow(spark, m.FlowConfig(str(tmp_path / "none.csv"), str(tmp_path / "lake")))

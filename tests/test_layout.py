@@ -1,0 +1,165 @@
+"""Stored layers: versions, partition values, rebalancing and clustering."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillstone.operators.gold import gold_by_country
+from tillstone.schema import GOLD_DDL, SILVER_DDL
+from tillstone.sources.layers import LayerStore
+from tillstone.sources.paths import scratch_dir
+
+SMALL = "Country string, n int"
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return LayerStore(spark, str(tmp_path / "lake"))
+
+
+def _small(spark, *rows):
+    return spark.createDataFrame(list(rows), SMALL)
+
+
+def _files(path):
+    return list(Path(path).rglob("*.parquet"))
+
+
+def test_each_overwrite_is_a_new_version(spark, store):
+    store.overwrite("t", _small(spark, ("a", 1)))
+    assert store.overwrite("t", _small(spark, ("b", 2))).endswith("t/v00002")
+    assert store.read("t", SMALL).collect() == [("b", 2)]
+
+
+def test_layer_can_be_rewritten_from_itself(spark, store):
+    store.overwrite("t", _small(spark, ("a", 1)))
+    before = store.read("t", SMALL)
+    store.overwrite("t", before.withColumn("n", F.col("n") + 1))
+    assert store.read("t", SMALL).collect() == [("a", 2)]
+    assert before.collect() == [("a", 1)]
+
+
+def test_schema_may_change_on_rewrite(spark, store):
+    store.overwrite("t", _small(spark, ("a", 1)))
+    store.overwrite("t", spark.range(1))
+    assert store.read("t", "id bigint").collect() == [(0,)]
+
+
+def test_unfinished_version_is_ignored_and_not_reused(spark, store):
+    store.overwrite("t", _small(spark, ("a", 1)))
+    half = Path(store.version_path("t", 2))
+    half.mkdir()
+    (half / "part-0.parquet").write_bytes(b"junk")
+    assert store.read("t", SMALL).collect() == [("a", 1)]
+    assert store.overwrite("t", _small(spark, ("b", 2))).endswith("v00003")
+
+
+def test_missing_layer(store):
+    with pytest.raises(FileNotFoundError, match="'t'"):
+        store.read("t", SMALL)
+
+
+def test_null_and_empty_partition_values_both_read_back_null(spark, store):
+    store.overwrite("t", _small(spark, (None, 1), ("", 2), ("x", 3)), partition_by=("Country",))
+    assert sorted(store.read("t", SMALL).collect(), key=str) == [("x", 3), (None, 1), (None, 2)]
+
+
+def test_numeric_looking_partition_values_stay_text(spark, store):
+    store.overwrite("t", _small(spark, ("7", 1), ("08", 2)), partition_by=("Country",))
+    rows = store.read("t", SMALL)
+    assert rows.columns == ["Country", "n"]
+    assert sorted(rows.collect()) == [("08", 2), ("7", 1)]
+
+
+def test_partition_filter_prunes_directories(spark, store):
+    store.overwrite("t", _small(spark, ("a", 1), ("b", 2)), partition_by=("Country",))
+    plan = store.read("t", SMALL).where("Country = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Country" in plan
+
+
+def test_layout_columns_that_are_absent_are_skipped(spark, store):
+    path = store.overwrite("t", spark.range(3), partition_by=("Country",), rebalance_by=("Country",))
+    assert not list(Path(path).glob("Country=*"))
+    assert store.read("t", "id bigint").count() == 3
+    assert store.cluster("t", "id bigint", ("TotalRevenue",)) is None
+
+
+def test_rebalance_keeps_rows_and_brings_countries_together(spark, store, silver):
+    rows = silver(*({"Country": f"C{i % 8}", "CustomerID": i} for i in range(400))).repartition(4)
+    path = store.overwrite("silver", rows, rebalance_by=("Country",))
+    homes = spark.read.parquet(path).select("Country", F.input_file_name()).distinct()
+    assert homes.count() == 8
+    assert store.read("silver", "CustomerID bigint").count() == 400
+
+
+def test_rebalance_splits_a_country_that_holds_most_rows(spark, store, conf):
+    conf(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    )
+    rows = spark.range(0, 200000, numPartitions=16).select(
+        F.when(F.col("id") % 10 < 9, "big").otherwise(F.concat(F.lit("c"), F.col("id") % 7)).alias("Country"),
+        F.md5(F.col("id").cast("string").cast("binary")).alias("payload"),
+    )
+    path = store.overwrite("t", rows, rebalance_by=("Country",))
+    sizes = spark.read.parquet(path).where("Country = 'big'").withColumn("file", F.input_file_name()).groupBy("file").count().collect()
+    assert len(sizes) >= 8
+    assert max(r["count"] for r in sizes) < 180000 / 4
+    assert spark.read.parquet(path).count() == 200000
+
+
+def test_cluster_covers_narrow_ranges(spark, store):
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).cast("double").alias("v")).repartition(8)
+    store.overwrite("t", rows)
+    path = store.cluster("t", "v double", ("v",), files=4)
+    ranges = sorted(
+        (r.low, r.high)
+        for r in spark.read.parquet(path)
+        .withColumn("file", F.input_file_name())
+        .groupBy("file")
+        .agg(F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()
+    )
+    assert len(ranges) == len(_files(path)) == 4
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert store.read("t", "v double").count() == 1000
+
+
+def test_cluster_keeps_partitions(store, silver):
+    store.overwrite("gold", gold_by_country(silver({"Country": "A"}, {"Country": "B"})), partition_by=("Country",))
+    path = store.cluster("gold", GOLD_DDL, ("TotalRevenue",), partition_by=("Country",))
+    assert sorted(p.name for p in Path(path).glob("Country=*")) == ["Country=A", "Country=B"]
+    assert store.read("gold", GOLD_DDL).count() == 2
+
+
+def test_other_file_format(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), fmt="orc")
+    store.overwrite("t", _small(spark, ("a", 1)))
+    assert store.read("t", SMALL).collect() == [("a", 1)]
+
+
+def test_absent_columns_read_as_null(store, silver):
+    store.overwrite("silver", silver({}).drop("Country"))
+    assert store.read("silver", SILVER_DDL).first().Country is None
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(shared) and first != second
+
+
+def test_scratch_on_a_cluster_needs_the_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster(), "x")

@@ -1,0 +1,68 @@
+"""Physical plans: what is scanned, pushed down, shuffled and reused."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from checks import queries as q
+from tillstone.operators.clean import clean, cleaning_funnel
+from tillstone.operators.gold import gold_by_country
+from tillstone.schema import SILVER_DDL, bronze_ddl
+from tillstone.sources.layers import LayerStore
+
+SF = "/root/testdata/sf0.001"
+
+
+def _plan(df) -> str:
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    return text.split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    store.overwrite("bronze", q.bronze(spark, SF))
+    store.overwrite("silver", q.silver(spark, SF))
+    return store
+
+
+def test_cleaning_is_one_pushed_down_scan_without_shuffle(stored):
+    plan = _plan(clean(stored.read("bronze", bronze_ddl())))
+    assert plan.count("Scan parquet") == 2  # once in the tree, once in its details
+    assert "Exchange" not in plan
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan).group(1)
+    for part in ("IsNotNull(Quantity)", "GreaterThan(Quantity,0)", "GreaterThan(UnitPrice,0.0)", "IsNotNull(CustomerID)"):
+        assert part in pushed
+    assert "InvoiceDate" not in re.search(r"ReadSchema: (.*)", plan).group(1)
+
+
+def test_funnel_is_one_aggregation_over_three_columns(stored):
+    plan = _plan(cleaning_funnel(stored.read("bronze", bronze_ddl())))
+    assert re.search(r"ReadSchema: (.*)", plan).group(1) == "struct<Quantity:int,UnitPrice:float,CustomerID:float>"
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
+
+
+def test_gold_shuffles_on_values_before_countries(stored):
+    plan = _plan(gold_by_country(stored.read("silver", SILVER_DDL)))
+    keys = [k for k in re.findall(r"hashpartitioning\((.*)\)", plan) if "Country" in k]
+    assert any("CustomerID" in k and "StockCode" in k for k in keys)
+    assert "Description" not in re.search(r"ReadSchema: (.*)", plan).group(1)
+    # A partial aggregate stands below each of the two exchanges.
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 2
+    assert len(re.findall(r"^\(\d+\) HashAggregate", plan, re.M)) == 4
+
+
+def test_scores_reuse_the_counted_pairs(spark):
+    df = q.eval_r2(spark, SF)
+    df.collect()
+    assert "ReusedExchange" in _plan(df)
+
+
+@pytest.mark.parametrize("name", [n for n in q.QUERIES if n not in ("forest_predictions", "run_log")])
+def test_no_cross_joins_and_no_python_in_any_plan(spark, name):
+    plan = _plan(q.QUERIES[name](spark, SF))
+    assert not re.search(r"CartesianProduct|NestedLoop|PythonUDF|EvalPython|MapInPandas", plan)
