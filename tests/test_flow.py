@@ -134,3 +134,14 @@ def test_second_run_replaces_the_layers(spark, lake, tmp_path):
 def test_missing_file_stops_the_flow(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)path"):
         m.run_flow(spark, m.FlowConfig(str(tmp_path / "none.csv"), str(tmp_path / "lake")))
+
+
+def test_stages_run_one_by_one(spark, lake):
+    import main
+
+    cfg = lake(synthetic_retail(spark, 300))
+    base = ["--raw", cfg.raw_path, "--root", cfg.root, "--trees", "2", "--depth", "2"]
+    for stage in main.STAGES:
+        main.run(spark, *main.parse([*base, "--stage", stage]))
+    assert RunLog(LayerStore(spark, cfg.root)).read().first().status == "FINISHED"
+    assert main.parse(base)[1] == main.STAGES

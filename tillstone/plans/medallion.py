@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -10,15 +9,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tillstone.operators.clean import clean, funnel_metrics
 from tillstone.operators.gold import gold_by_country
-from tillstone.operators.guards import require_any_column, require_columns
+from tillstone.operators.guards import require_any_column, require_columns, warn_if_empty
 from tillstone.operators.training import TrainingOptions, evaluate, fit_forest, prepare
 from tillstone.plans.runs import RunLog, utc_now
 from tillstone.schema import GOLD_DDL, GOLD_INPUT_COLUMNS, SILVER_DDL, bronze_ddl
 from tillstone.sources.csv_files import read_retail_csv, with_audit
 from tillstone.sources.layers import LayerStore
 
-log = logging.getLogger(__name__)
-
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
@@ -59,10 +56,7 @@ def ingest(store: LayerStore, cfg: FlowConfig) -> dict[str, int]:
     audited = with_audit(raw, cfg.ingested_at)
     counted = audited.observe(funnel, *funnel_metrics(audited, reject_nan_price=cfg.reject_nan_price))
     store.overwrite(BRONZE, counted)
-    counts = funnel.get
-    if counts["bronze_rows"] == 0:
-        log.warning("bronze: the raw file has no rows, so silver and gold will be empty")
-    return counts
+    return funnel.get
 
 
 def read_bronze(store: LayerStore, cfg: FlowConfig) -> DataFrame:
@@ -80,6 +74,7 @@ def read_gold(store: LayerStore) -> DataFrame:
 def build_silver(store: LayerStore, cfg: FlowConfig) -> None:
     bronze = read_bronze(store, cfg)
     require_any_column(bronze, SILVER)
+    warn_if_empty(bronze, SILVER)
     store.overwrite(SILVER, clean(bronze, reject_nan_price=cfg.reject_nan_price), rebalance_by=("Country",))
 
 
@@ -111,8 +106,7 @@ def train(store: LayerStore, cfg: FlowConfig) -> str:
             GOLD: read_gold(store).schema.json(),
         },
     }
-    if silver.isEmpty():
-        log.warning("train: silver has no rows, no model is trained")
+    if warn_if_empty(silver, "train"):
         return runs.append(cfg.experiment, "FAILED", **run)
     try:
         name, version, path = runs.new_model_version(cfg.model_name)
