@@ -14,6 +14,7 @@ from tillstone.plans import medallion as m
 from tillstone.plans.runs import RunLog
 from tillstone.sources.csv_files import write_retail_csv
 from tillstone.sources.layers import LayerStore
+from tillstone.sources.paths import child_names
 from tillstone.sources.synthetic import synthetic_retail
 
 AT = datetime(2024, 1, 1)
@@ -69,6 +70,15 @@ def test_run_is_recorded(flow):
     assert set(run.schemas) == {"bronze", "silver", "gold"}
 
 
+def test_training_leaves_no_row_table_behind(spark, flow):
+    """Checked on a new run, since other tests write under the same folder."""
+    cfg, _, store = flow
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(child_names(spark, shared))
+    m.train(store, replace(cfg, model_name="other"))
+    assert not [n for n in set(child_names(spark, shared)) - before if n.startswith("training")]
+
+
 def test_saved_model_scores_alike(spark, flow):
     cfg, report, store = flow
     first, second = (RunLog(store).load_model(cfg.model_name, v) for v in (None, 1))
@@ -85,8 +95,9 @@ def test_saved_model_scores_alike(spark, flow):
 def test_next_run_is_the_next_version(flow):
     cfg, _, store = flow
     m.train(store, cfg)
-    latest = RunLog(store).read().agg(F.max("model_version"), F.count("*")).first()
-    assert latest == (2, 2)
+    runs = RunLog(store).read().where(F.col("model_name") == cfg.model_name)
+    latest = runs.agg(F.max("model_version"), F.min("model_version"), F.count("*")).first()
+    assert latest == (2, 1, 2)
 
 
 def test_unknown_model(flow):

@@ -159,7 +159,7 @@ def test_scratch_on_a_cluster_needs_the_shared_folder():
 
     class Cluster:
         conf = Conf()
-        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getCheckpointDir": lambda self: None})()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Cluster(), "x")

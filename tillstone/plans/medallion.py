@@ -15,6 +15,7 @@ from tillstone.plans.runs import RunLog, utc_now
 from tillstone.schema import GOLD_DDL, GOLD_INPUT_COLUMNS, SILVER_DDL, bronze_ddl
 from tillstone.sources.csv_files import read_retail_csv, with_audit
 from tillstone.sources.layers import LayerStore
+from tillstone.sources.paths import remove, scratch_dir
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -31,8 +32,8 @@ class FlowConfig:
     approx_distinct: bool = False
     partition_gold: bool = True
     ingested_at: datetime | None = None
-    experiment: str = "Online_Retail_Quantity_Prediction"
-    model_name: str = "OnlineRetailQuantityPredictor"
+    experiment: str = "quantity_prediction"
+    model_name: str = "quantity_forest"
     training: TrainingOptions = field(default_factory=TrainingOptions)
 
 
@@ -108,9 +109,10 @@ def train(store: LayerStore, cfg: FlowConfig) -> str:
     }
     if warn_if_empty(silver, "train"):
         return runs.append(cfg.experiment, "FAILED", **run)
+    rows_path = scratch_dir(store.spark, "training")
     try:
         name, version, path = runs.new_model_version(cfg.model_name)
-        data = prepare(silver, options, path)
+        data = prepare(silver, options, f"{path}/features", rows_path)
         forest = fit_forest(data.train, options)
         metrics = evaluate(forest.transform(data.test)).first().asDict()
         data.features.save(f"{path}/features")
@@ -118,6 +120,8 @@ def train(store: LayerStore, cfg: FlowConfig) -> str:
     except Exception:
         runs.append(cfg.experiment, "FAILED", **run)
         raise
+    finally:
+        remove(store.spark, rows_path)
     known = {k: v for k, v in metrics.items() if v is not None}
     return runs.append(cfg.experiment, "FINISHED", metrics=known, model=(name, version, path), **run)
 

@@ -27,13 +27,19 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that its maker no longer needs."""
+    target, fs = _path_and_fs(spark, path)
+    fs.delete(target, True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's folder for intermediate data, ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder, because
-    executors on other machines could not read it.
+    Only a local session without a checkpoint folder gets a temporary one,
+    because executors on other machines could not read it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
