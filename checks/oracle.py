@@ -148,6 +148,7 @@ ORACLE: dict[str, str] = {
     "silver_roundtrip": f"with {_SILVER} select * exclude (l_linenumber) from silver",
     "gold_roundtrip": f"with {_GOLD} select * from gold",
     "gold_clustered": f"with {_GOLD} select * from gold",
+    "flow_gold": f"with {_GOLD} select * from gold",
     "index_country": f"with {_SILVER}, {_labels('Country')} select {_LINE}, Country, CountryIndex "
     "from silver join Country_labels using (Country)",
     "index_stock": f"with {_SILVER}, {_labels('StockCode')} select {_LINE}, StockCodeIndex "

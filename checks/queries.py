@@ -21,6 +21,7 @@ from tillstone.operators.features import (
 )
 from tillstone.operators.gold import gold_by_country, line_revenue, sort_gold
 from tillstone.operators.training import TrainingOptions, evaluate, fit_forest, prepare
+from tillstone.plans.medallion import FlowConfig, build_gold, build_silver, ingest, read_gold
 from tillstone.plans.runs import RunLog
 from tillstone.schema import AUDIT_COLUMN, GOLD_DDL, RAW_COLUMNS, SILVER_DDL, bronze_ddl
 from tillstone.sources.csv_files import read_retail_csv, with_audit, write_retail_csv
@@ -174,6 +175,17 @@ def synthetic_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retail_from_ids(lines.select((F.col("l_orderkey") * 10 + F.col(LINE)).alias("id")))
 
 
+def flow_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV to stored gold through every stored layer."""
+    store = _store(spark, "flow")
+    cfg = FlowConfig(f"{store.root}/raw", store.root, ingested_at=INGESTED_AT)
+    write_retail_csv(bronze(spark, sf_dir).select(*RAW_COLUMNS), cfg.raw_path)
+    ingest(store, cfg)
+    build_silver(store, cfg)
+    build_gold(store, cfg)
+    return _rounded_revenue(read_gold(store))
+
+
 # --- features and model ------------------------------------------------------------
 
 
@@ -280,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "silver_roundtrip": silver_roundtrip,
     "gold_roundtrip": gold_roundtrip,
     "gold_clustered": gold_clustered,
+    "flow_gold": flow_gold,
     "index_country": _indexed("Country"),
     "index_stock": _indexed("StockCode"),
     "assemble_features": assemble_features,

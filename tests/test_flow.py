@@ -66,6 +66,8 @@ def test_run_is_recorded(flow):
     assert run.params["n_estimators"] == "4" and run.params["max_depth"] == "3"
     assert set(run.metrics) == {"rmse", "r2"}
     assert run.started_at <= run.ended_at
+    assert run.row_counts["silver"] == run.row_counts["train"] + run.row_counts["test"] == report.funnel["silver_rows"]
+    assert run.row_counts["gold"] == 4
     assert [f["name"] for f in json.loads(run.schemas["gold"])["fields"]][0] == "Country"
     assert set(run.schemas) == {"bronze", "silver", "gold"}
 

@@ -95,6 +95,12 @@ def test_rebalance_keeps_rows_and_brings_countries_together(spark, store, silver
     assert store.read("silver", "CustomerID bigint").count() == 400
 
 
+def test_rebalance_from_a_given_number_of_parts(store, silver, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = silver(*({"Country": f"C{i}", "CustomerID": i} for i in range(200)))
+    assert len(_files(store.overwrite("silver", rows, rebalance_by=("Country",), rebalance_parts=5))) == 5
+
+
 def test_rebalance_splits_a_country_that_holds_most_rows(spark, store, conf):
     conf(
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",

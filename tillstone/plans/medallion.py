@@ -91,12 +91,13 @@ def build_gold(store: LayerStore, cfg: FlowConfig) -> None:
 def train(store: LayerStore, cfg: FlowConfig) -> str:
     """Fit, score, save and record one model; returns the run's id.
 
+    The row counts come from the files' footers, no column is read for them.
     Without rows nothing is fitted and the run is recorded as FAILED. A fit
     that raises is recorded as FAILED and raised again.
     """
     runs = RunLog(store)
     started = utc_now()
-    silver = read_silver(store)
+    silver, gold = read_silver(store), read_gold(store)
     options = cfg.training
     run = {
         "started_at": started,
@@ -104,7 +105,7 @@ def train(store: LayerStore, cfg: FlowConfig) -> str:
         "schemas": {
             BRONZE: read_bronze(store, cfg).schema.json(),
             SILVER: silver.schema.json(),
-            GOLD: read_gold(store).schema.json(),
+            GOLD: gold.schema.json(),
         },
     }
     if warn_if_empty(silver, "train"):
@@ -114,6 +115,12 @@ def train(store: LayerStore, cfg: FlowConfig) -> str:
         name, version, path = runs.new_model_version(cfg.model_name)
         data = prepare(silver, options, f"{path}/features", rows_path)
         forest = fit_forest(data.train, options)
+        counts = {
+            SILVER: silver.count(),
+            GOLD: gold.count(),
+            "train": data.train.count(),
+            "test": data.test.count(),
+        }
         metrics = evaluate(forest.transform(data.test)).first().asDict()
         data.features.save(f"{path}/features")
         forest.write().save(f"{path}/forest")
@@ -123,7 +130,7 @@ def train(store: LayerStore, cfg: FlowConfig) -> str:
     finally:
         remove(store.spark, rows_path)
     known = {k: v for k, v in metrics.items() if v is not None}
-    return runs.append(cfg.experiment, "FINISHED", metrics=known, model=(name, version, path), **run)
+    return runs.append(cfg.experiment, "FINISHED", metrics=known, row_counts=counts, model=(name, version, path), **run)
 
 
 def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowReport:

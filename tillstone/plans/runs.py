@@ -15,7 +15,8 @@ from tillstone.sources.layers import LayerStore
 
 _RUNS_DDL = (
     "run_id string, experiment string, status string, started_at timestamp, ended_at timestamp, "
-    "params map<string,string>, metrics map<string,double>, schemas map<string,string>, "
+    "params map<string,string>, metrics map<string,double>, row_counts map<string,bigint>, "
+    "schemas map<string,string>, "
     "model_name string, model_version int, model_path string"
 )
 
@@ -40,6 +41,7 @@ class RunLog:
         started_at: datetime,
         params: Mapping[str, str] | None = None,
         metrics: Mapping[str, float] | None = None,
+        row_counts: Mapping[str, int] | None = None,
         schemas: Mapping[str, str] | None = None,
         model: tuple[str, int, str] | None = None,
     ) -> str:
@@ -53,6 +55,7 @@ class RunLog:
             utc_now(),
             dict(params or {}),
             {k: float(v) for k, v in (metrics or {}).items()},
+            dict(row_counts or {}),
             dict(schemas or {}),
             name,
             version,

@@ -61,17 +61,19 @@ class LayerStore:
         *,
         partition_by: Sequence[str] = (),
         rebalance_by: Sequence[str] = (),
+        rebalance_parts: int | None = None,
     ) -> str:
         """Replace the layer; columns that ``df`` lacks are left out of the layout.
 
         ``rebalance_by`` brings equal values together and lets adaptive
         execution split a value that is too large for one task, which a plain
-        hash repartition would not.
+        hash repartition would not. ``rebalance_parts`` sets how many parts it
+        starts from, instead of the session's number of shuffle partitions.
         """
         together = [c for c in rebalance_by if c in df.columns]
         split = [c for c in partition_by if c in df.columns]
         if together:
-            df = df.hint("rebalance", *together)
+            df = df.hint("rebalance", *([rebalance_parts] if rebalance_parts else []), *together)
         path = self.next_path(layer)
         writer = df.write.format(self.fmt)
         (writer.partitionBy(*split) if split else writer).save(path)
