@@ -16,6 +16,7 @@ from tillstone.operators.features import (
     assemble,
     fit_features,
     fit_labels,
+    index_all,
     index_column,
     with_split,
 )
@@ -32,11 +33,8 @@ from tillstone.sources.synthetic import retail_from_ids
 
 INGESTED_AT = datetime(2024, 1, 1)
 LINE = "l_linenumber"
-LINE_SILVER_DDL = (
-    "InvoiceNo string, StockCode string, Description string, Quantity int, UnitPrice double, "
-    f"CustomerID bigint, Country string, {LINE} int"
-)
 SPLIT_KEYS = ("InvoiceNo", LINE, "StockCode")
+MODEL_COLUMNS = (*SPLIT_KEYS, "Quantity", "UnitPrice", "CustomerID", "Country")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,19 +187,20 @@ def flow_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- features and model ------------------------------------------------------------
 
 
-def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver written once, for queries that fit on it and then transform it."""
+def stored_silver(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The silver layer with the given columns, written once for queries that read it several times."""
     store = _store(spark, "silver")
-    store.overwrite("silver", silver(spark, sf_dir), rebalance_by=("Country",))
-    return store.read("silver", LINE_SILVER_DDL)
+    rows = silver(spark, sf_dir).select(*columns)
+    store.overwrite("silver", rows, rebalance_by=("Country",))
+    return store.read("silver", rows.schema)
 
 
 def _indexed(column: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = stored_silver(spark, sf_dir)
-        labels = fit_labels(rows, column, scratch_dir(spark, "labels"))
-        keys = dict.fromkeys(("InvoiceNo", LINE, "StockCode", column, INDEXED[column]))
-        return index_column(rows, labels, column, INDEXED[column]).select(*keys)
+        keys = tuple(dict.fromkeys(("InvoiceNo", LINE, "StockCode", column)))
+        rows = stored_silver(spark, sf_dir, *keys)
+        labels = fit_labels(rows, [column], scratch_dir(spark, "labels"))
+        return index_column(rows, labels[column], column, INDEXED[column])
 
     return query
 
@@ -212,16 +211,13 @@ def _unnested(rows: DataFrame, vector: str) -> DataFrame:
 
 
 def assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored_silver(spark, sf_dir)
-    path = scratch_dir(spark, "labels")
-    indexed = rows
-    for column, output in INDEXED.items():
-        indexed = index_column(indexed, fit_labels(rows, column, f"{path}/{column}"), column, output)
-    return _unnested(assemble(indexed), "features")
+    rows = stored_silver(spark, sf_dir, *MODEL_COLUMNS)
+    labels = fit_labels(rows, tuple(INDEXED), scratch_dir(spark, "labels"))
+    return _unnested(assemble(index_all(rows, labels)), "features")
 
 
 def scale_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored_silver(spark, sf_dir)
+    rows = stored_silver(spark, sf_dir, *MODEL_COLUMNS)
     scaled = fit_features(rows, scratch_dir(spark, "features")).transform(rows)
     wide = _unnested(scaled, "scaledFeatures")
     return wide.withColumns({c: F.round(c, 6) for c in FEATURE_COLUMNS})
@@ -254,7 +250,7 @@ def eval_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = TrainingOptions(num_trees=20, max_depth=5, split_keys=SPLIT_KEYS)
-    rows = stored_silver(spark, sf_dir)
+    rows = stored_silver(spark, sf_dir, *MODEL_COLUMNS)
     data = prepare(rows, options, scratch_dir(spark, "features"), scratch_dir(spark, "training"), carry=SPLIT_KEYS)
     return fit_forest(data.train, options).transform(data.test).drop("scaledFeatures")
 

@@ -25,7 +25,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _labels(spark, df, column):
-    rows = fit_labels(df, column, scratch_dir(spark, "labels")).collect()
+    rows = fit_labels(df, [column], scratch_dir(spark, "labels"))[column].collect()
     return [r.label for r in sorted(rows, key=lambda r: r.label_index)], sorted(r.label_index for r in rows)
 
 
@@ -53,7 +53,7 @@ def test_labels_over_many_sort_partitions(spark, conf):
     conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="7")
     rows = spark.range(3000).select(F.concat(F.lit("s"), F.col("id") % F.lit(997)).alias("v"))
     path = scratch_dir(spark, "labels")
-    labels = fit_labels(rows, "v", path)
+    labels = fit_labels(rows, ["v"], path)["v"]
     places = spark.read.parquet(f"{path}/sorted").select(F.shiftright("place", 33).alias("part")).distinct()
     assert places.count() > 1
     expected = StringIndexer(inputCol="v", outputCol="i").fit(rows).labels
@@ -65,9 +65,23 @@ def test_labels_over_many_sort_partitions(spark, conf):
     )
 
 
+def test_columns_are_indexed_apart(spark, conf):
+    """Two columns share the sort, and one sort partition may hold labels of both."""
+    conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="5")
+    rows = spark.range(600).select(
+        F.concat(F.lit("a"), F.col("id") % 101).alias("a"), F.concat(F.lit("b"), F.col("id") % 67).alias("b")
+    )
+    both = fit_labels(rows, ["a", "b"], scratch_dir(spark, "labels"))
+    for column in ("a", "b"):
+        expected = StringIndexer(inputCol=column, outputCol="i").fit(rows).labels
+        found = both[column].orderBy("label_index").collect()
+        assert [r.label for r in found] == expected
+        assert [r.label_index for r in found] == [float(i) for i in range(len(expected))]
+
+
 @pytest.fixture
 def abc(spark):
-    return fit_labels(_values(spark, "b", "a", "c", "c"), "v", scratch_dir(spark, "labels"))
+    return fit_labels(_values(spark, "b", "a", "c", "c"), ["v"], scratch_dir(spark, "labels"))["v"]
 
 
 @pytest.mark.parametrize("value, shown", [(None, "null"), ("zz", "'zz'")])
@@ -94,7 +108,7 @@ def test_hot_label_without_broadcast(spark, conf):
     rows = spark.range(40000, numPartitions=8).select(
         F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("v")
     )
-    labels = fit_labels(rows, "v", scratch_dir(spark, "labels"))
+    labels = fit_labels(rows, ["v"], scratch_dir(spark, "labels"))["v"]
     indexed = index_column(rows, labels, "v", "i")
     assert indexed.where("i = 0").count() == 20000
     assert indexed.agg(F.count_distinct("i")).first()[0] == 20001

@@ -94,7 +94,7 @@ def test_hot_label_is_split(spark, shuffled_joins):
     rows = spark.range(60000, numPartitions=8).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("v")
     )
-    labels = fit_labels(rows, "v", scratch_dir(spark, "labels"))
+    labels = fit_labels(rows, ["v"], scratch_dir(spark, "labels"))["v"]
     indexed = index_column(rows, labels, "v", "i")
     assert "SortMergeJoin(skew=true)" in _executed(indexed)
     assert indexed.where("i = 0").count() == 20000

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,8 +17,8 @@ LABEL = "Quantity"
 INDEXED = {"Country": "CountryIndex", "StockCode": "StockCodeIndex"}
 FEATURE_COLUMNS = ("CustomerID", "UnitPrice", "CountryIndex", "StockCodeIndex")
 
-_STAGED_DDL = "label string, rows bigint, place bigint"
-_LABELS_DDL = "label string, rows bigint, label_index double"
+_SORTED_DDL = "source string, label string, rows bigint, place bigint"
+_LABELS_DDL = "label string, rows bigint, label_index double, source string"
 
 
 def recast_measures(df: DataFrame) -> DataFrame:
@@ -25,44 +26,51 @@ def recast_measures(df: DataFrame) -> DataFrame:
     return df.withColumns({"Quantity": F.col("Quantity").cast("int"), "UnitPrice": F.col("UnitPrice").cast("double")})
 
 
-def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_LABELS_DDL).parquet(f"{path}/labels")
+def read_labels(spark: SparkSession, path: str, column: str) -> DataFrame:
+    labels = spark.read.schema(_LABELS_DDL).parquet(f"{path}/labels")
+    return labels.where(F.col("source") == column).drop("source")
 
 
-def fit_labels(df: DataFrame, column: str, path: str) -> DataFrame:
-    """Index the values of ``column`` by falling frequency, ties in ascending order; nulls are left out.
+def fit_labels(df: DataFrame, columns: Sequence[str], path: str) -> dict[str, DataFrame]:
+    """Index the values of each column by falling frequency, ties in ascending order; nulls are left out.
 
     The same numbers as MLlib's ``StringIndexer``, which gathers every label on
-    the driver. Here the labels are range-sorted across the cluster and written
-    under ``path``; a label's index is its row offset in its sort partition plus
-    the sizes of the partitions before it. The second read must see exactly the
-    partitions of the first, so the sorted table is written and not recomputed.
+    the driver. Here the labels of all columns are range-sorted across the
+    cluster and written under ``path``. A label's index is its distance from the
+    first label of its column in its sort partition, plus that column's labels in
+    the partitions before it. Both reads must see the same partitions, so the
+    sorted table is written and not recomputed.
     """
     spark = df.sparkSession
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("label"))
+    counts = [
+        df.where(F.col(c).isNotNull())
+        .groupBy(F.col(c).alias("label"))
         .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(c).alias("source"), "label", "rows")
+        for c in columns
+    ]
+    (
+        reduce(DataFrame.unionAll, counts)
+        .orderBy("source", F.desc("rows"), "label")
+        # The partition number above bit 33, the row number in the partition below it.
+        .withColumn("place", F.monotonically_increasing_id())
+        .write.parquet(f"{path}/sorted")
     )
-    # The generated id holds the partition number above bit 33, the row offset below.
-    counts.orderBy(F.desc("rows"), F.asc("label")).withColumn("place", F.monotonically_increasing_id()).write.parquet(
-        f"{path}/sorted"
-    )
-    placed = spark.read.schema(_STAGED_DDL).parquet(f"{path}/sorted").withColumn("part", F.shiftright("place", 33))
-    # One row per sort partition, so this window without a partition key is small.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = spark.read.schema(_SORTED_DDL).parquet(f"{path}/sorted").withColumn("part", F.shiftright("place", 33))
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("part")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+        placed.groupBy("source", "part")
+        .agg(F.count(F.lit(1)).alias("size"), F.min("place").alias("first"))
+        .withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
     )
-    offset = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     (
-        placed.join(starts, "part")
-        .select("label", "rows", (F.col("start") + offset).cast("double").alias("label_index"))
-        .write.parquet(f"{path}/labels")
+        placed.join(starts, ["source", "part"])
+        .withColumn("label_index", (F.col("start") + F.col("place") - F.col("first")).cast("double"))
+        .select("source", "label", "rows", "label_index")
+        .write.partitionBy("source")
+        .parquet(f"{path}/labels")
     )
-    return read_labels(spark, path)
+    return {c: read_labels(spark, path, c) for c in columns}
 
 
 def index_column(
@@ -93,6 +101,12 @@ def index_column(
     return joined.withColumn(output, F.coalesce(output, missing)).select(*order)
 
 
+def index_all(df: DataFrame, labels: dict[str, DataFrame], handle_invalid: str = "error") -> DataFrame:
+    for column, output in INDEXED.items():
+        df = index_column(df, labels[column], column, output, handle_invalid)
+    return df
+
+
 def assemble(df: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS, output: str = "features") -> DataFrame:
     """Gather numeric columns into one vector; a null among them raises."""
     require_columns(df, columns, "assemble")
@@ -120,7 +134,7 @@ class FeatureModel:
     handle_invalid: str = "error"
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.scaler.transform(assemble(_index_all(recast_measures(df), self.labels, self.handle_invalid)))
+        return self.scaler.transform(assemble(index_all(recast_measures(df), self.labels, self.handle_invalid)))
 
     def save(self, path: str) -> None:
         """Store the scaler next to the label tables, which fitting wrote under ``path``."""
@@ -128,22 +142,16 @@ class FeatureModel:
 
     @staticmethod
     def load(spark: SparkSession, path: str, handle_invalid: str = "error") -> FeatureModel:
-        labels = {column: read_labels(spark, f"{path}/{column}") for column in INDEXED}
+        labels = {column: read_labels(spark, path, column) for column in INDEXED}
         return FeatureModel(labels, StandardScalerModel.load(f"{path}/scaler"), handle_invalid)
 
 
-def _index_all(df: DataFrame, labels: dict[str, DataFrame], handle_invalid: str) -> DataFrame:
-    for column, output in INDEXED.items():
-        df = index_column(df, labels[column], column, output, handle_invalid)
-    return df
-
-
 def fit_features(df: DataFrame, path: str, handle_invalid: str = "error") -> FeatureModel:
     """Fit both label tables and the scaler on ``df``, keeping the tables under ``path``."""
     require_columns(df, (LABEL, "CustomerID", "UnitPrice", *INDEXED), "features")
     df = recast_measures(df)
-    labels = {column: fit_labels(df, column, f"{path}/{column}") for column in INDEXED}
-    scaler = fit_scaler(assemble(_index_all(df, labels, handle_invalid)))
+    labels = fit_labels(df, tuple(INDEXED), path)
+    scaler = fit_scaler(assemble(index_all(df, labels, handle_invalid)))
     return FeatureModel(labels, scaler, handle_invalid)
 
 

@@ -45,14 +45,15 @@ class LayerStore:
                 return path
         raise FileNotFoundError(f"layer {layer!r} under {self.root} has no finished version")
 
-    def read(self, layer: str, ddl: str) -> DataFrame:
+    def read(self, layer: str, schema: str | StructType) -> DataFrame:
         """Current version under a declared schema, which also types partition values.
 
         Null and empty partition values both read back as null. Columns come
         in the declared order wherever the files keep them.
         """
-        rows = self.spark.read.schema(ddl).format(self.fmt).load(self.current_path(layer))
-        return rows.select(*StructType.fromDDL(ddl).names)
+        rows = self.spark.read.schema(schema).format(self.fmt).load(self.current_path(layer))
+        declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        return rows.select(*declared.names)
 
     def overwrite(
         self,
@@ -82,7 +83,7 @@ class LayerStore:
     def cluster(
         self,
         layer: str,
-        ddl: str,
+        schema: str | StructType,
         by: Sequence[str],
         *,
         partition_by: Sequence[str] = (),
@@ -94,7 +95,7 @@ class LayerStore:
         ``files`` adaptive execution picks their number from the data size.
         Does nothing when none of ``by`` exists.
         """
-        df = self.read(layer, ddl)
+        df = self.read(layer, schema)
         ranges = [c for c in by if c in df.columns]
         if not ranges:
             return None
