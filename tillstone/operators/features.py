@@ -15,6 +15,7 @@ from tillstone.operators.guards import require_columns
 
 LABEL = "Quantity"
 INDEXED = {"Country": "CountryIndex", "StockCode": "StockCodeIndex"}
+MODEL_INPUTS = (LABEL, "CustomerID", "UnitPrice", *INDEXED)
 FEATURE_COLUMNS = ("CustomerID", "UnitPrice", "CountryIndex", "StockCodeIndex")
 
 _SORTED_DDL = "source string, label string, rows bigint, place bigint"
@@ -124,9 +125,9 @@ def fit_scaler(assembled: DataFrame) -> StandardScalerModel:
 class FeatureModel:
     """Fitted labels and scaler.
 
-    Scaling a tree's input looks idle but also drops the nominal metadata, so
-    that the forest reads both indexes as numbers. Without it a forest refuses
-    features with more than ``maxBins`` categories.
+    The indexes are plain numbers without category metadata, and scaling would
+    drop such metadata too. So a forest splits on them as numbers; declared as
+    categories they would have to fit into ``maxBins``.
     """
 
     labels: dict[str, DataFrame]
@@ -148,7 +149,7 @@ class FeatureModel:
 
 def fit_features(df: DataFrame, path: str, handle_invalid: str = "error") -> FeatureModel:
     """Fit both label tables and the scaler on ``df``, keeping the tables under ``path``."""
-    require_columns(df, (LABEL, "CustomerID", "UnitPrice", *INDEXED), "features")
+    require_columns(df, MODEL_INPUTS, "features")
     df = recast_measures(df)
     labels = fit_labels(df, tuple(INDEXED), path)
     scaler = fit_scaler(assemble(index_all(df, labels, handle_invalid)))
