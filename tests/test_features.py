@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import queries as q
+from tillstone.operators import features
 from tillstone.operators.features import (
     FeatureModel,
     assemble,
@@ -48,9 +49,10 @@ def test_same_labels_as_mllib(spark, column):
     assert _labels(spark, rows, column) == (expected, [float(i) for i in range(len(expected))])
 
 
-def test_labels_over_many_sort_partitions(spark, conf):
+def test_labels_over_many_sort_partitions(spark, conf, monkeypatch):
     """The index runs on across partitions, also where equal counts straddle them."""
     conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="7")
+    monkeypatch.setattr(features, "remove", lambda *_: None)
     rows = spark.range(3000).select(F.concat(F.lit("s"), F.col("id") % F.lit(997)).alias("v"))
     path = scratch_dir(spark, "labels")
     labels = fit_labels(rows, ["v"], path)["v"]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillstone.functions.hashing import hash_bucket
 from tillstone.operators.guards import require_columns
+from tillstone.sources.paths import remove
 
 LABEL = "Quantity"
 INDEXED = {"Country": "CountryIndex", "StockCode": "StockCodeIndex"}
@@ -45,7 +46,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str], path: str) -> dict[str, Da
     spark = df.sparkSession
     counts = [
         df.where(F.col(c).isNotNull())
-        .groupBy(F.col(c).alias("label"))
+        .groupBy(F.col(c).cast("string").alias("label"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(c).alias("source"), "label", "rows")
         for c in columns
@@ -71,6 +72,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str], path: str) -> dict[str, Da
         .write.partitionBy("source")
         .parquet(f"{path}/labels")
     )
+    remove(spark, f"{path}/sorted")
     return {c: read_labels(spark, path, c) for c in columns}
 
 
