@@ -1,6 +1,6 @@
 """Run the flow, or one stage of it, with spark-submit.
 
-    spark-submit main.py --raw s3a://bucket/raw/*.csv --root s3a://bucket/lake
+    spark-submit main.py --raw "/data/raw/*.csv" --root /data/lake
 """
 
 from __future__ import annotations

@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from tillstone.schema import raw_ddl  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -42,14 +44,17 @@ def conf(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-RAW = "InvoiceNo string, StockCode string, Description string, Quantity int, InvoiceDate string, UnitPrice float, CustomerID float, Country string"
+SILVER = (
+    "InvoiceNo string, StockCode string, Description string, Quantity int, "
+    "UnitPrice double, CustomerID bigint, Country string"
+)
 
 
 @pytest.fixture
 def bronze(spark):
     """Build bronze rows from the fields that matter to a test."""
 
-    def build(*rows: dict, ddl: str = RAW):
+    def build(*rows: dict):
         base = {
             "InvoiceNo": "1",
             "StockCode": "A",
@@ -60,7 +65,7 @@ def bronze(spark):
             "CustomerID": 7.0,
             "Country": "France",
         }
-        return spark.createDataFrame([tuple({**base, **r}.values()) for r in rows], ddl)
+        return spark.createDataFrame([tuple({**base, **r}.values()) for r in rows], raw_ddl())
 
     return build
 
@@ -77,7 +82,6 @@ def silver(spark):
             "CustomerID": 7,
             "Country": "France",
         }
-        ddl = "InvoiceNo string, StockCode string, Description string, Quantity int, UnitPrice double, CustomerID bigint, Country string"
-        return spark.createDataFrame([tuple({**base, **r}.values()) for r in rows], ddl)
+        return spark.createDataFrame([tuple({**base, **r}.values()) for r in rows], SILVER)
 
     return build

@@ -53,7 +53,9 @@ def test_nan_price_passes_from_stored_files_too(spark, bronze, tmp_path):
     assert len(rows) == 1 and math.isnan(rows[0].UnitPrice)
 
 
-@pytest.mark.parametrize("customer, kept", [(7.0, True), (0.0, True), (None, False), (NAN, False), (INF, False), (1e30, False)])
+@pytest.mark.parametrize(
+    "customer, kept", [(7.0, True), (0.0, True), (None, False), (NAN, False), (INF, False), (1e30, False)]
+)
 def test_customer_filter(bronze, customer, kept):
     assert (c.clean(bronze({"CustomerID": customer})).count() == 1) is kept
 
@@ -113,7 +115,8 @@ def test_silver_without_optional_columns(bronze):
 
 
 def test_funnel_counts(bronze):
-    rows = bronze({}, {"Quantity": 0}, {"UnitPrice": 0.0}, {"CustomerID": NAN}, {"CustomerID": INF}, {"CustomerID": None})
+    ids = ({"CustomerID": i} for i in (NAN, INF, None))
+    rows = bronze({}, {"Quantity": 0}, {"UnitPrice": 0.0}, *ids)
     assert c.cleaning_funnel(rows).first().asDict() == {
         "bronze_rows": 6,
         "after_quantity": 5,

@@ -118,7 +118,8 @@ def test_hot_label_without_broadcast(spark, conf):
 
 
 def _matrix(*rows, spark):
-    return spark.createDataFrame(list(rows), "CustomerID bigint, UnitPrice double, CountryIndex double, StockCodeIndex double")
+    ddl = "CustomerID bigint, UnitPrice double, CountryIndex double, StockCodeIndex double"
+    return spark.createDataFrame(list(rows), ddl)
 
 
 def test_assemble_order(spark):
