@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillstone.llm.exact_dedup import PatriciaTrie, patricia_dedup, without_copies
+
+SCHEMA = "doc_id long, text string, kept string, _key int"
+
+
+def brute(rows):
+    groups = {}
+    for doc, text in rows:
+        groups.setdefault("".join(c for c in text or "" if c not in " \t\n\x0b\x0c\r"), []).append((doc, text or ""))
+    out = []
+    for norm, members in groups.items():
+        best = min(members, key=lambda m: (-len(m[1]), m[0] is None, m[0] or 0))
+        sha = hashlib.sha256(norm.encode()).hexdigest()
+        out += [(doc, best[0], len(members), sha) for doc, _ in members]
+    return sorted(out, key=str)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=12).map(lambda b: bytes(x % 3 for x in b)), max_size=60), st.integers(1, 60))
+def test_trie_holds_what_was_inserted_at_any_budget(texts, budget):
+    trie, want = PatriciaTrie(budget), {}
+    for i, text in enumerate(texts):
+        trie.insert(text, [i])
+        want.setdefault(text, []).append(i)
+    got = list(trie.texts())
+    assert len(got) == len(want)
+    assert {k: sorted(v) for k, v in got} == want
+
+
+def test_long_shared_prefixes_spill():
+    trie = PatriciaTrie(100)
+    texts = [b"x" * 500 + bytes([i]) * 30 for i in range(40)]
+    for i, text in enumerate(texts):
+        trie.insert(text, [i])
+    assert trie.spilled
+    assert sorted(trie.texts()) == sorted((t, [i]) for i, t in enumerate(texts))
+
+
+def test_equals_brute_force_with_odd_rows(spark):
+    rows = [
+        (5, "a b"), (3, "ab"), (9, " a\tb "), (4, None), (2, ""), (8, " "), (None, "ab"), (None, None),
+        (7, "é x"), (6, "é x"), (11, "z" * 300_000), (12, "z" * 300_000 + " "), (3, "ab"), (20, "A b"),
+    ] + [(100 + i, "hot copy") for i in range(200)]
+    df = spark.createDataFrame([(a, b, "k", 1) for a, b in rows], SCHEMA).repartition(5)
+    got = patricia_dedup(df).select("doc_id", "keep_id", "group_size", "text_sha256", "kept").collect()
+    assert sorted([tuple(r)[:4] for r in got], key=str) == brute(rows)
+    assert sum(r.kept for r in got) == len({r.text_sha256 for r in got})
+
+
+def test_kept_rows_are_whole(spark):
+    rows = [(1, "a b", "x"), (2, "a  b", "y"), (3, "c", None)]
+    got = without_copies(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(map(tuple, got.collect())) == [(2, "a  b", "y"), (3, "c", None)]
+
+
+def test_empty_table(spark):
+    assert patricia_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
