@@ -14,4 +14,30 @@ ORACLE = {
             from n
         )
         select doc_id, keep_id, group_size, r = 1 as kept, sha256(k) as text_sha256 from g""",
+    "op7_coordinate_join": r"""
+        with recursive w as (
+            select doc_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x20\x09-\x0D]+'), lambda x: x != '') as ws
+            from documents
+        ), s as (
+            select distinct doc_id,
+                   unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+                          else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as sh
+            from w
+        ), n as (select doc_id, count(*) as n from s group by doc_id
+        ), common as (
+            select a.doc_id as a, b.doc_id as b, count(*) as c
+            from s a join s b on a.sh = b.sh and a.doc_id != b.doc_id group by 1, 2
+        ), links as (
+            select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b
+            where 100 * c >= 85 * (x.n + y.n - c)
+        ), reach(v, r) as (
+            select doc_id, doc_id from w
+            union
+            select reach.v, links.b from reach join links on links.a = reach.r
+        )
+        select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r) as component_id,
+               w.doc_id = min(r) as kept
+        from w join reach on v = w.doc_id left join n on n.doc_id = w.doc_id group by w.doc_id""",
 }

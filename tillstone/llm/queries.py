@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstone.llm.common import documents
 from tillstone.llm.exact_dedup import patricia_dedup
+from tillstone.llm.near_dedup import near_duplicates
 from tillstone.llm.packing import pack, token_pieces
 
 
@@ -17,11 +18,15 @@ def op1_patricia_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(documents(spark, sf_dir))
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_patricia_owners, op10_residual_packing)
+    f.__name__: f for f in (op1_patricia_owners, op7_coordinate_join, op10_residual_packing)
 }
