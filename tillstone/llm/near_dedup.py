@@ -9,10 +9,15 @@ kept when their whole signatures agree in T places and then confirmed on the
 full shingle sets.
 
 Lists are not paired out. Rows with one word sequence are one class. In a
-list, all members are first held against one pivot, twice with different
-pivots; members that their list's largest component doesn't contain yet are
-then held against all members of other components. Any pair left out lies in
-one component already, so components are those of the full link graph.
+list, all members are first held against one pivot. Lists that then still
+span several components are open. For their members the shingles that no
+other member has are counted: they bound a pair's common part from above, so
+most pairs of a large group are ruled out by two numbers. A second pivot, the
+member with the smallest such share, joins the rest of a group of copies to
+its original. Members outside their list's largest component are at last held
+against all members of other components in the size bands that the bound
+allows. A pair that was never tested lies in one component or can't be a
+link, so components are those of the full link graph.
 """
 
 from __future__ import annotations
@@ -191,36 +196,69 @@ class _Search:
             "postings",
         )
 
-    def close_in_size(self, a: str, b: str):
-        return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
+    def viable(self):
+        """Whether a pair's common part, at most ``top`` for either side, can reach the threshold."""
+        top = F.least("top", "ptop")
+        return top * 100 >= (F.col("n") + F.col("pn") - top) * self.percent
 
-    def star(self, lists: DataFrame, turn: int) -> DataFrame:
-        """Pairs of each list's pivot with its other members."""
+    def star(self, lists: DataFrame) -> DataFrame:
+        """Pairs of each list's pivot, the member with the least share of private shingles, with its other members."""
+        best = F.struct(
+            (-F.col("top") / F.col("n")).alias("share"), F.xxhash64("cid").alias("h"),
+            F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
+        )
         pivot = (
             lists.groupBy("token")
-            .agg(F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), F.col("cid").alias("p"), F.col("n").alias("pn"))).alias("x"), F.count("*").alias("c"))
+            .agg(F.min(best).alias("x"), F.count("*").alias("c"))
             .filter("c > 1")
-            .select("token", "x.p", "x.pn")
+            .select("token", "x.p", "x.pn", "x.ptop")
         )
-        pairs = lists.join(pivot, "token").filter((F.col("cid") != F.col("p")) & self.close_in_size("n", "pn"))
+        pairs = lists.join(pivot, "token").filter((F.col("cid") != F.col("p")) & self.viable())
         return pairs.select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b"))
 
     def rest(self, lists: DataFrame) -> DataFrame:
-        """Pairs across components of each list with a side outside the list's largest component."""
+        """Viable pairs across components of each list with a side outside the list's largest component."""
         largest = (
             lists.groupBy("token", "label").agg(F.count("*").alias("c"))
             .groupBy("token").agg(F.max(F.struct("c", "label")).alias("x")).select("token", F.col("x.label").alias("main"))
         )
-        left = lists.join(largest, "token").filter("label != main").select(
-            "token", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("label").alias("plabel")
+        band = lambda size: F.floor(F.log(size) * 40)  # noqa: E731  bands of 2.5 percent
+        low = F.col("n") * self.percent / 100
+        high = F.col("top") * (100 / self.percent + 1) - F.col("n")
+        left = (
+            lists.join(largest, "token")
+            .filter((F.col("label") != F.col("main")) & (high >= low))
+            .select(
+                "token", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
+                F.col("label").alias("plabel"), F.explode(F.sequence(band(low) - 1, band(high) + 1)).alias("band"),
+            )
+        )
+        pairs = lists.withColumn("band", band(F.col("n"))).join(left, ["token", "band"]).filter(
+            (F.col("label") != F.col("plabel")) & self.viable()
         )
-        pairs = lists.join(left, "token").filter((F.col("label") != F.col("plabel")) & self.close_in_size("n", "pn"))
         return pairs.select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b"))
 
-    def open_lists(self, links: DataFrame, name: str) -> DataFrame:
+    def tops(self, lists: DataFrame, name: str) -> DataFrame:
+        """(cid, top): how many shingles of a list member at least one other member has, or seems to have."""
+        sets = self.full_sets(lists.select("cid").distinct(), name)
+        # 31 bits of a shingle's hash: a clash only makes the bound weaker
+        each = sets.select("cid", F.explode("set").alias("h")).select("cid", F.col("h").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("h"))
+        private = (
+            each.groupBy("h").agg(F.count("*").alias("c"), F.min("cid").alias("cid")).filter("c = 1")
+            .groupBy("cid").agg(F.count("*").alias("private"))
+        )
+        out = self.scratch.store(
+            sets.select("cid", F.size("set").cast("long").alias("n")).join(private, "cid", "left")
+            .select("cid", (F.col("n") - F.coalesce("private", F.lit(0))).alias("top")),
+            f"{name}-tops",
+        )
+        self.scratch.drop(f"{name}-sets", f"{name}-keys")
+        return out
+
+    def open_lists(self, postings: DataFrame, links: DataFrame, name: str) -> DataFrame:
         """Postings, with their components, of lists of three and more that span several components."""
         labels = components(links, self.scratch, name)
-        marked = self.postings.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn(
+        marked = postings.drop("label").join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn(
             "label", F.coalesce("label", "cid")
         )
         spread = (
@@ -231,6 +269,20 @@ class _Search:
         )
         return self.scratch.store(marked.join(spread, "token", "left_semi"), f"{name}-open")
 
+    def full_sets(self, cids: DataFrame, name: str) -> DataFrame:
+        """(cid, set): whole shingle sets of classes, computed from their texts."""
+        keys = self.scratch.store(self.classes.select("cid", "cls", "first").join(cids, "cid"), f"{name}-keys")
+        ids = broadcast_if_small(keys.select(F.col("first").alias(self.id_col)), self.small)
+        sets = (
+            self.docs.select(self.id_col, self.text_col)
+            .join(ids, self.id_col, "left_semi")
+            .mapInArrow(_sets(self.text_col, self.words), "cls binary, set array<long>")
+            .join(keys.select("cid", "cls"), "cls")
+            .dropDuplicates(["cid"])
+            .select("cid", "set")
+        )
+        return self.scratch.store(sets, f"{name}-sets")
+
     def confirm(self, pairs: DataFrame, tested: DataFrame | None, name: str) -> tuple[DataFrame, DataFrame]:
         """New pairs whose signatures agree, and those of them whose full sets do."""
         pairs = pairs.distinct()
@@ -242,19 +294,7 @@ class _Search:
         same = F.aggregate(F.zip_with("siga", "sigb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
         pairs = self.scratch.store(pairs.filter(same >= self.agree).select("a", "b", "na", "nb"), f"{name}-pairs")
         keys = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        keys = self.scratch.store(
-            self.classes.select("cid", "cls", "first").join(keys, "cid"), f"{name}-keys"
-        )
-        ids = broadcast_if_small(keys.select(F.col("first").alias(self.id_col)), self.small)
-        sets = (
-            self.docs.select(self.id_col, self.text_col)
-            .join(ids, self.id_col, "left_semi")
-            .mapInArrow(_sets(self.text_col, self.words), "cls binary, set array<long>")
-            .join(keys.select("cid", "cls"), "cls")
-            .dropDuplicates(["cid"])
-            .select("cid", "set")
-        )
-        sets = self.scratch.store(sets, f"{name}-sets")
+        sets = self.full_sets(keys, name)
         held = pairs
         for side in "ab":
             held = held.join(sets.toDF(side, f"set{side}"), side)
@@ -285,14 +325,15 @@ def near_duplicates(
     gives no rows and other columns are not read. Needs about 60 bytes of memory per byte of the longest text.
     """
     search = _Search(docs, id_col, text_col, words, percent, coordinates, agree, small)
-    tested, links = search.confirm(search.star(search.postings, 1), None, "star1")
-    for turn, name in ((2, "star2"), (3, "rest")):
-        lists = search.open_lists(links, name)
-        if lists.limit(1).count() == 0:
-            break
-        pairs = search.star(lists, turn) if name != "rest" else search.rest(lists)
-        more, new = search.confirm(pairs, tested, name)
-        tested, links = tested.unionByName(more), links.unionByName(new)
+    tested, links = search.confirm(search.star(search.postings.withColumn("top", F.col("n"))), None, "star")
+    lists = search.open_lists(search.postings, links, "open")
+    if lists.limit(1).count():
+        lists = lists.join(search.tops(lists, "tops"), "cid")
+        for name, pairs_of in (("second", search.star), ("rest", search.rest)):
+            more, new = search.confirm(pairs_of(lists), tested, name)
+            tested, links = tested.unionByName(more), links.unionByName(new)
+            if name == "second":
+                lists = search.open_lists(lists, links, name)
     labels = components(links, search.scratch, "final").withColumnRenamed("v", "cid")
     classes = search.classes.select("cid", "cls", "first").join(labels, "cid", "left")
     linked = classes.filter("label IS NOT NULL")
