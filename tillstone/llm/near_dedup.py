@@ -33,7 +33,7 @@ from tillstone.llm.bytehash import SpanHash, mix, slices
 from tillstone.llm.common import Scratch, broadcast_if_small
 from tillstone.llm.graph import components
 
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 BUCKETS = 1 << 18
 
 
@@ -225,16 +225,21 @@ class _Search:
         band = lambda size: F.floor(F.log(size) * 40)  # noqa: E731  bands of 2.5 percent
         low = F.col("n") * self.percent / 100
         high = F.col("top") * (100 / self.percent + 1) - F.col("n")
+        # a pair is made in the first of its common lists only
+        keys = lists.groupBy("cid").agg(F.sort_array(F.collect_set("token")).alias("keys"))
+        lists = lists.join(keys, "cid")
         left = (
             lists.join(largest, "token")
             .filter((F.col("label") != F.col("main")) & (high >= low))
             .select(
                 "token", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
-                F.col("label").alias("plabel"), F.explode(F.sequence(band(low) - 1, band(high) + 1)).alias("band"),
+                F.col("label").alias("plabel"), F.col("keys").alias("pkeys"), F.explode(F.sequence(band(low) - 1, band(high) + 1)).alias("band"),
             )
         )
         pairs = lists.withColumn("band", band(F.col("n"))).join(left, ["token", "band"]).filter(
-            (F.col("label") != F.col("plabel")) & self.viable()
+            (F.col("label") != F.col("plabel"))
+            & self.viable()
+            & (F.get(F.array_intersect("keys", "pkeys"), F.lit(0)) == F.col("token"))
         )
         return pairs.select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b"))
 
