@@ -14,10 +14,12 @@ span several components are open. For their members the shingles that no
 other member has are counted: they bound a pair's common part from above, so
 most pairs of a large group are ruled out by two numbers. A second pivot, the
 member with the smallest such share, joins the rest of a group of copies to
-its original. Members outside their list's largest component are at last held
-against all members of other components in the size bands that the bound
-allows. A pair that was never tested lies in one component or can't be a
-link, so components are those of the full link graph.
+its original. Members outside the largest component around a pivot are at last
+held against the pivot's other members in the size bands that the bound
+allows. Each side carries only how its set differs from the pivot's, which is
+short among copies and gives the pair's exact overlap, so that the join puts
+out links alone. A pair that was never tested lies in one component or can't
+be a link: components are those of the full link graph.
 """
 
 from __future__ import annotations
@@ -201,64 +203,70 @@ class _Search:
         top = F.least("top", "ptop")
         return top * 100 >= (F.col("n") + F.col("pn") - top) * self.percent
 
-    def star(self, lists: DataFrame) -> DataFrame:
-        """Pairs of each list's pivot, the member with the least share of private shingles, with its other members."""
+    def with_pivots(self, lists: DataFrame) -> DataFrame:
+        """Each list's rows beside its pivot, the member with the least share of private shingles."""
         best = F.struct(
             (-F.col("top") / F.col("n")).alias("share"), F.xxhash64("cid").alias("h"),
             F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
         )
-        pivot = (
-            lists.groupBy("token")
-            .agg(F.min(best).alias("x"), F.count("*").alias("c"))
-            .filter("c > 1")
-            .select("token", "x.p", "x.pn", "x.ptop")
-        )
-        pairs = lists.join(pivot, "token").filter((F.col("cid") != F.col("p")) & self.viable())
+        pivot = lists.groupBy("token").agg(F.min(best).alias("x"), F.count("*").alias("c")).filter("c > 1")
+        return lists.join(pivot.select("token", "x.p", "x.pn", "x.ptop"), "token")
+
+    def star(self, lists: DataFrame) -> DataFrame:
+        """Viable pairs of each list's pivot with its other members."""
+        pairs = self.with_pivots(lists).filter((F.col("cid") != F.col("p")) & self.viable())
         return pairs.select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b"))
 
-    def rest(self, lists: DataFrame) -> DataFrame:
-        """Viable pairs across components of each list with a side outside the list's largest component."""
+    def rest(self, lists: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+        """Links across components among the members around one pivot, tested exactly."""
+        around = self.with_pivots(lists).select(F.col("p").alias("pivot"), "cid", "n", "top", "label").distinct()
+        differs = F.concat(F.array_except("set", "pset"), F.array_except("pset", "set"))
+        around = self.scratch.store(
+            around.join(sets, "cid").join(sets.toDF("pivot", "pset"), "pivot")
+            .select("pivot", "cid", "n", "top", "label", differs.alias("d")),
+            f"{name}-around",
+        )
         largest = (
-            lists.groupBy("token", "label").agg(F.count("*").alias("c"))
-            .groupBy("token").agg(F.max(F.struct("c", "label")).alias("x")).select("token", F.col("x.label").alias("main"))
+            around.groupBy("pivot", "label").agg(F.count("*").alias("c"))
+            .groupBy("pivot").agg(F.max(F.struct("c", "label")).alias("x"))
+            .select("pivot", F.col("x.label").alias("main"))
         )
         band = lambda size: F.floor(F.log(size) * 40)  # noqa: E731  bands of 2.5 percent
         low = F.col("n") * self.percent / 100
         high = F.col("top") * (100 / self.percent + 1) - F.col("n")
-        # a pair is made in the first of its common lists only
-        keys = lists.groupBy("cid").agg(F.sort_array(F.collect_set("token")).alias("keys"))
-        lists = lists.join(keys, "cid")
         left = (
-            lists.join(largest, "token")
+            around.join(largest, "pivot")
             .filter((F.col("label") != F.col("main")) & (high >= low))
             .select(
-                "token", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
-                F.col("label").alias("plabel"), F.col("keys").alias("pkeys"), F.explode(F.sequence(band(low) - 1, band(high) + 1)).alias("band"),
+                "pivot", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
+                F.col("label").alias("plabel"), F.col("d").alias("pd"),
+                F.explode(F.sequence(band(low) - 1, band(high) + 1)).alias("band"),
             )
         )
-        pairs = lists.withColumn("band", band(F.col("n"))).join(left, ["token", "band"]).filter(
+        apart = F.size("d") + F.size("pd") - 2 * F.size(F.array_intersect("d", "pd"))
+        links = around.withColumn("band", band(F.col("n"))).join(left, ["pivot", "band"]).filter(
             (F.col("label") != F.col("plabel"))
             & self.viable()
-            & (F.get(F.array_intersect("keys", "pkeys"), F.lit(0)) == F.col("token"))
+            & ((F.col("n") + F.col("pn")) * (100 - self.percent) >= apart * (100 + self.percent))
         )
-        return pairs.select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b"))
+        links = links.select(F.least("cid", "p").alias("a"), F.greatest("cid", "p").alias("b")).distinct()
+        return self.scratch.store(links, f"{name}-links")
 
-    def tops(self, lists: DataFrame, name: str) -> DataFrame:
-        """(cid, top): how many shingles of a list member at least one other member has, or seems to have."""
-        sets = self.full_sets(lists.select("cid").distinct(), name)
+    def tops(self, sets: DataFrame, name: str) -> DataFrame:
+        """(cid, top): how many shingles of a set at least one other set has, or seems to have."""
         # 31 bits of a shingle's hash: a clash only makes the bound weaker
-        each = sets.select("cid", F.explode("set").alias("h")).select("cid", F.col("h").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("h"))
+        each = sets.select("cid", F.explode("set").alias("h")).select(
+            "cid", F.col("h").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("h")
+        )
         private = (
             each.groupBy("h").agg(F.count("*").alias("c"), F.min("cid").alias("cid")).filter("c = 1")
             .groupBy("cid").agg(F.count("*").alias("private"))
         )
-        out = self.scratch.store(
+        return self.scratch.store(
             sets.select("cid", F.size("set").cast("long").alias("n")).join(private, "cid", "left")
             .select("cid", (F.col("n") - F.coalesce("private", F.lit(0))).alias("top")),
-            f"{name}-tops",
+            name,
         )
-        self.scratch.drop(f"{name}-sets", f"{name}-keys")
-        return out
 
     def open_lists(self, postings: DataFrame, links: DataFrame, name: str) -> DataFrame:
         """Postings, with their components, of lists of three and more that span several components."""
@@ -288,26 +296,25 @@ class _Search:
         )
         return self.scratch.store(sets, f"{name}-sets")
 
-    def confirm(self, pairs: DataFrame, tested: DataFrame | None, name: str) -> tuple[DataFrame, DataFrame]:
-        """New pairs whose signatures agree, and those of them whose full sets do."""
+    def confirm(self, pairs: DataFrame, name: str, sets: DataFrame | None = None) -> DataFrame:
+        """Links among pairs: those whose signatures agree and whose full sets then do."""
         pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         sig = self.classes.select("cid", "n", "sig")
         for side in "ab":
             pairs = pairs.join(sig.toDF(side, f"n{side}", f"sig{side}"), side)
         same = F.aggregate(F.zip_with("siga", "sigb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
         pairs = self.scratch.store(pairs.filter(same >= self.agree).select("a", "b", "na", "nb"), f"{name}-pairs")
-        keys = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        sets = self.full_sets(keys, name)
+        if sets is None:
+            keys = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+            sets = self.full_sets(keys, name)
         held = pairs
         for side in "ab":
             held = held.join(sets.toDF(side, f"set{side}"), side)
         both = F.size(F.array_intersect("seta", "setb"))
         links = held.filter(both * 100 >= (F.col("na") + F.col("nb") - both) * self.percent).select("a", "b")
         links = self.scratch.store(links, f"{name}-links")
-        self.scratch.drop(f"{name}-sets", f"{name}-keys")
-        return pairs.select("a", "b"), links
+        self.scratch.drop(f"{name}-sets", f"{name}-keys", f"{name}-pairs")
+        return links
 
 
 def near_duplicates(
@@ -330,15 +337,14 @@ def near_duplicates(
     gives no rows and other columns are not read. Needs about 60 bytes of memory per byte of the longest text.
     """
     search = _Search(docs, id_col, text_col, words, percent, coordinates, agree, small)
-    tested, links = search.confirm(search.star(search.postings.withColumn("top", F.col("n"))), None, "star")
+    links = search.confirm(search.star(search.postings.withColumn("top", F.col("n"))), "star")
     lists = search.open_lists(search.postings, links, "open")
     if lists.limit(1).count():
-        lists = lists.join(search.tops(lists, "tops"), "cid")
-        for name, pairs_of in (("second", search.star), ("rest", search.rest)):
-            more, new = search.confirm(pairs_of(lists), tested, name)
-            tested, links = tested.unionByName(more), links.unionByName(new)
-            if name == "second":
-                lists = search.open_lists(lists, links, name)
+        sets = search.full_sets(lists.select("cid").distinct(), "open")
+        lists = lists.join(search.tops(sets, "tops"), "cid")
+        links = links.unionByName(search.confirm(search.star(lists), "second", sets))
+        links = links.unionByName(search.rest(search.open_lists(lists, links, "rest"), sets, "rest"))
+        search.scratch.drop("open-sets", "open-keys", "rest-around")
     labels = components(links, search.scratch, "final").withColumnRenamed("v", "cid")
     classes = search.classes.select("cid", "cls", "first").join(labels, "cid", "left")
     linked = classes.filter("label IS NOT NULL")
