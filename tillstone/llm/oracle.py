@@ -1,5 +1,13 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from tillstone.llm.licenses import RULES, SENTENCES
+
+
+def _values(rows: list[tuple]) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x)
+    return ", ".join("(" + ", ".join(quoted(x) for x in row) + ")" for row in rows)
+
+
 ORACLE = {
     "op1_patricia_owners": r"""
         with n as (
@@ -40,4 +48,57 @@ ORACLE = {
         select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r) as component_id,
                w.doc_id = min(r) as kept
         from w join reach on v = w.doc_id left join n on n.doc_id = w.doc_id group by w.doc_id""",
+    "op3_positional_index": r"""
+        with d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as ws
+            from documents
+        ), i as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as ws
+            from benchmark
+        ), windows as (
+            select distinct item_id, least(13, len(ws)) as n,
+                   unnest(list_transform(range(1, greatest(len(ws) - 12, 1) + 1),
+                                         lambda k: array_to_string(ws[k:k + 12], ' '))) as w
+            from i where len(ws) > 0
+        ), grams as (
+            select doc_id, n, unnest(range(1, len(ws) - n + 2)) as k, ws
+            from d, (select distinct n from windows) where len(ws) >= n
+        ), hits as (
+            select distinct g.doc_id, g.k, g.n, item_id
+            from (select doc_id, k, n, array_to_string(ws[k:k + n - 1], ' ') as w from grams) g
+            join windows using (n, w)
+        ), covered as (
+            select doc_id, count(distinct p) as n_hit
+            from (select doc_id, unnest(range(k, k + n)) as p from hits) group by 1
+        ), named as (
+            select doc_id, count(distinct item_id) as n_items,
+                   string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items
+            from hits group by 1
+        )
+        select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(items, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+        from d left join covered using (doc_id) left join named using (doc_id)""",
+    "op6_sentence_rules": rf"""
+        with known(sid, sentence) as (values {_values([(i + 1, x) for i, x in enumerate(SENTENCES)])}),
+        rules(licence, rule, sids) as (values {_values(RULES)}),
+        cut as (
+            select doc_id, unnest(s) as sentence, generate_subscripts(s, 1) - 1 as place
+            from (select doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?;]+(?:\s+|$)|\n+') as s from documents)
+        ), seen as (
+            select doc_id, list(place order by place) as ats, list(sid order by place) as sids
+            from (select doc_id, place, trim(lower(regexp_replace(sentence, '[^A-Za-z0-9]+', ' ', 'g'))) as sentence from cut)
+            join known using (sentence) group by doc_id
+        ), found as (
+            select doc_id, ats, licence, rule, len(rules.sids) as n,
+                   unnest(list_filter(range(1, len(seen.sids) - len(rules.sids) + 2),
+                                      lambda i: seen.sids[i:i + len(rules.sids) - 1] = rules.sids)) as a
+            from seen, rules
+        )
+        select doc_id, licence, rule, ats[a]::bigint as first, ats[a + n - 1]::bigint as last
+        from found f
+        where not exists (select 1 from found g where g.doc_id = f.doc_id and g.a <= f.a
+                          and g.a + g.n >= f.a + f.n and g.n > f.n)""",
 }

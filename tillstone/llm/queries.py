@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstone.llm.common import documents
+from tillstone.llm.decontaminate import contamination
 from tillstone.llm.exact_dedup import patricia_dedup
+from tillstone.llm.licenses import licences
 from tillstone.llm.near_dedup import near_duplicates
 from tillstone.llm.packing import pack, token_pieces
+from tillstone.llm.secrets import secrets, written
 
 
 def op1_patricia_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +21,35 @@ def op1_patricia_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination(documents(spark, sf_dir), benchmark).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(written(F.filter("spans", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences(documents(spark, sf_dir))
+
+
 def op7_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -28,5 +60,5 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_patricia_owners, op7_coordinate_join, op10_residual_packing)
+    f.__name__: f for f in (op1_patricia_owners, op3_positional_index, op5_randomness_battery, op6_sentence_rules, op7_coordinate_join, op10_residual_packing)
 }
