@@ -219,7 +219,15 @@ class _Search:
 
     def rest(self, lists: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         """Links across components among the members around one pivot, tested exactly."""
-        around = self.with_pivots(lists).select(F.col("p").alias("pivot"), "cid", "n", "top", "label").distinct()
+        low = F.col("n") * self.percent / 100
+        high = F.col("top") * (100 / self.percent + 1) - F.col("n")
+        # sizes of texts that a member could be linked with run from low to high; most members have none
+        around = (
+            self.with_pivots(lists).filter(high >= low)
+            .select(F.col("p").alias("pivot"), "cid", "n", "top", "label").distinct()
+        )
+        spread = around.groupBy("pivot").agg((F.min("label") != F.max("label")).alias("open")).filter("open")
+        around = self.scratch.store(around.join(spread.select("pivot"), "pivot", "left_semi"), f"{name}-some")
         differs = F.concat(F.array_except("set", "pset"), F.array_except("pset", "set"))
         around = self.scratch.store(
             around.join(sets, "cid").join(sets.toDF("pivot", "pset"), "pivot")
@@ -232,11 +240,9 @@ class _Search:
             .select("pivot", F.col("x.label").alias("main"))
         )
         band = lambda size: F.floor(F.log(size) * 40)  # noqa: E731  bands of 2.5 percent
-        low = F.col("n") * self.percent / 100
-        high = F.col("top") * (100 / self.percent + 1) - F.col("n")
         left = (
             around.join(largest, "pivot")
-            .filter((F.col("label") != F.col("main")) & (high >= low))
+            .filter(F.col("label") != F.col("main"))
             .select(
                 "pivot", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
                 F.col("label").alias("plabel"), F.col("d").alias("pd"),
