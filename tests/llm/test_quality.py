@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import numpy as np
+
+from tillstone.llm.quality import FEATURES, _tree, features, fit, quality_model, scored
+
+
+def test_features_see_whole_texts():
+    x = features(["", "AB cd!! |", "word " * 50_000 + "|"])
+    assert x.shape == (3, len(FEATURES)) and np.isfinite(x).all()
+    assert x[2, FEATURES.index("bar")] > 0
+
+
+def test_tree_finds_the_best_cuts():
+    gradient = np.array([1.0, 1, 1, -5, -5, 2, 2, 2])
+    value = _tree(gradient, np.ones(8), 3)
+    assert len(set(value.round(9))) == 3 and value[0] > 0 > value[3] and value[5] > 0
+
+
+def test_additive_and_pair_effects():
+    rng = np.random.default_rng(0)
+    x = rng.uniform(-1, 1, (4000, len(FEATURES)))
+    main = (np.abs(x[:, 0]) > 0.5).astype(float)
+    model = fit(x[:3000], main[:3000])
+    assert np.mean((model.logits(x[3000:]) > 0) == main[3000:]) > 0.95
+    both = (x[:, 1] * x[:, 2] > 0).astype(float)  # no single feature tells anything
+    model = fit(x[:3000], both[:3000])
+    assert (1, 2) in model.pairs
+    assert np.mean((model.logits(x[3000:]) > 0) == both[3000:]) > 0.85
+
+
+def test_score_is_the_sum_of_looked_up_entries():
+    rng = np.random.default_rng(1)
+    x, y = rng.uniform(size=(500, len(FEATURES))), rng.integers(0, 2, 500).astype(float)
+    model = fit(x, y)
+    row = x[0]
+    want = model.start + sum(t[np.sum(row[j] >= e)] for j, (e, t) in enumerate(zip(model.edges, model.tables)))
+    want += sum(g[np.sum(row[a] >= model.coarse[a]), np.sum(row[b] >= model.coarse[b])] for (a, b), g in zip(model.pairs, model.grids))
+    assert np.isclose(model.logits(x[:1])[0], want)
+
+
+def test_tables(spark):
+    good, bad = "A calm line of plain words, and so on. ", "x### y&&& $$$ || "
+    rows = [(i, (good if i % 2 else bad) * (1 + i % 7), None) for i in range(200)] + [(None, None, 1.0), (999, "", 2.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(5, None), (None, 0)], "doc_id long, quality int")
+    got = scored(docs, quality_model(docs, labels)).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert all((r.score >= 0.5) == bool(r.doc_id % 2) for r in got if r.doc_id is not None and r.doc_id < 200)
+    none = quality_model(docs.filter("false"), labels)
+    assert {r.score for r in scored(docs, none).collect()} == {0.5}
+    assert scored(docs.filter("false"), none).count() == 0

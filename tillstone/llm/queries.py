@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import documents
+from tillstone.llm import quality, toxicity
+from tillstone.llm.common import documents, in_fold
 from tillstone.llm.decontaminate import contamination
 from tillstone.llm.exact_dedup import patricia_dedup
 from tillstone.llm.licenses import licences
@@ -21,6 +22,28 @@ def op1_patricia_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        in_fold("doc_id", 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op4_gated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.toxicity_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        in_fold("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(documents(spark, sf_dir), benchmark).select(
@@ -60,5 +83,5 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_patricia_owners, op3_positional_index, op5_randomness_battery, op6_sentence_rules, op7_coordinate_join, op10_residual_packing)
+    f.__name__: f for f in (op1_patricia_owners, op2_additive_model, op4_gated_windows, op3_positional_index, op5_randomness_battery, op6_sentence_rules, op7_coordinate_join, op10_residual_packing)
 }
