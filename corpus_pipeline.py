@@ -10,8 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstone.llm.common import Scratch, documents
+from tillstone.llm.decontaminate import without_contaminated
 from tillstone.llm.exact_dedup import without_copies
+from tillstone.llm.near_dedup import without_near_copies
 from tillstone.llm.packing import pack, token_pieces
+from tillstone.llm.toxicity import without_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.3; the model learns from labelled rows outside the held-out fold."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,12 +27,28 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return without_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of 85 percent common five-word shingles join, the one with the smallest id stays."""
+    return without_near_copies(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words lie in a benchmark window."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents that are left, with their places in sequences of at most 1024 tokens."""
     return pack(token_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-STAGES = [("exact_dedup", exact_copies), ("packing", best_fit_packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("decontamination", decontamination),
+    ("packing", best_fit_packing),
+]
 
 #: SQL can't express the trained filter and the packing; tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None

@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import itertools
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tillstone.llm.pii import KINDS, SemiMarkov, _gold, base_spans, lattice, luhn, personal_data, pii_model, train
+
+SEEDS = [
+    "mail bob.smith+x@mail.example.com now", "call +49 30 1234-5678 or", "ip 192.168.0.254 and", "card 4111 1111 1111 1111 x",
+    "plain words only", "in 2024 there were 1500", "+1 (555) 010-9999", "a@b.c, d@e.f", "4111-1111-1111-1112", "1.2.3.4.5.6.7.8",
+]
+
+
+def brute(text):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(digits) <= 19 and luhn(digits):
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(SEEDS), st.text("0123456789+-. ()@ab.é\n", max_size=30)), max_size=6).map("".join))
+def test_base_equals_the_plain_patterns(text):
+    assert base_spans(text) == brute(text)
+
+
+def test_long_runs_are_linear():
+    assert base_spans("a" * 300_000 + "1" * 300_000 + "." * 1000) == []
+
+
+def small():
+    text = "x +1 55 5 b@c"
+    net = lattice(text, 0, len(text))
+    model = SemiMarkov()
+    rng = np.random.default_rng(0)
+    for ends in net.segments.values():
+        for _, features in ends:
+            for kind in range(len(KINDS)):
+                for f in ("", *features):
+                    model.w[kind, f] = float(rng.normal())
+    return text, net, model
+
+
+def all_segmentations(net):
+    arcs = [(i, j, k, f) for j, ends in net.segments.items() for i, f in ends for k in range(len(KINDS))]
+    for n in range(4):
+        for chosen in itertools.combinations(arcs, n):
+            used = [t for i, j, *_ in chosen for t in range(i, j)]
+            if len(used) == len(set(used)):
+                yield chosen, [i for i in range(len(net.plain)) if i not in used]
+
+
+def value(model, net, chosen, rest):
+    return sum(model.score(k, f) for _, _, k, f in chosen) + sum(model.score(-1, (net.plain[i],)) for i in rest)
+
+
+def test_best_segmentation_equals_enumeration():
+    text, net, model = small()
+    options = list(all_segmentations(net))
+    best = max(options, key=lambda o: value(model, net, *o))
+    assert model.best(net) == sorted((net.bounds[i], k, net.bounds[j]) for i, j, k, _ in best[0])
+
+
+def test_gradient_equals_enumeration():
+    text, net, model = small()
+    options = list(all_segmentations(net))
+    scores = np.array([value(model, net, *o) for o in options])
+    share = np.exp(scores - scores.max())
+    share /= share.sum()
+    gold = options[int(np.argsort(scores)[len(scores) // 2])][0]
+    got = model.gradient(net, {(i, j, k) for i, j, k, _ in gold})
+    expected = {}
+    for (chosen, _), p in zip(options, share):
+        for _, _, k, features in chosen:
+            expected[k, ""] = expected.get((k, ""), 0) - p
+    for _, _, k, _ in gold:
+        expected[k, ""] = expected.get((k, ""), 0) + 1
+    for name, want in expected.items():
+        assert abs(got.get(name, 0.0) - want) < 1e-3 * 50
+
+
+def test_learns_the_patterns_and_adds_like_spans():
+    rng = np.random.default_rng(2)
+    digits = lambda n: "".join(str(rng.integers(0, 10)) for _ in range(n))
+    texts = []
+    for i in range(150):
+        texts.append(f"word {i} call +1 ({digits(3)}) {digits(3)}-{digits(4)} or u{i}@mail{i}.example.org, from 10.{i}.0.7 in {1900 + i}.")
+    model = train(texts)
+    text = "please call +49 (301) 555-1234 or jo@site.example.net, from 10.1.2.3 in 1987."
+    found = [(KINDS[k], text[s:e]) for s, k, e in model.spans(text)]
+    assert ("email", "jo@site.example.net") in found and ("ip", "10.1.2.3") in found
+    net = lattice(texts[3], 0, len(texts[3]))
+    assert len(_gold(net, base_spans(texts[3]))) == 3
+
+
+def test_rows(spark):
+    rows = [(i, s, 1, "x") for i, s in enumerate(SEEDS)] + [(None, SEEDS[0], 1, "x"), (50, None, 1, "x"), (51, "", None, None), (0, SEEDS[0], 1, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind int, spans string").repartition(3)
+    got = personal_data(docs, pii_model(docs)).collect()
+    base = sorted(((r.doc_id, [(s.start, s.kind, s.end) for s in r.spans if s.base]) for r in got), key=str)
+    assert base == sorted(((doc, brute(text or "")) for doc, text, *_ in rows), key=str)
+    for r in got:
+        held = [(s.start, s.end) for s in r.spans if s.base]
+        assert not any(a < s.end and s.start < b for s in r.spans if not s.base for a, b in held)
+    assert personal_data(docs.filter("false"), train([])).count() == 0

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm import quality, toxicity
+from tillstone.llm import pii, quality, toxicity
 from tillstone.llm.common import documents, in_fold
 from tillstone.llm.decontaminate import contamination
 from tillstone.llm.exact_dedup import patricia_dedup
 from tillstone.llm.licenses import licences
 from tillstone.llm.near_dedup import near_duplicates
 from tillstone.llm.packing import pack, token_pieces
+from tillstone.llm.repeats import repeated_bytes
 from tillstone.llm.secrets import secrets, written
 
 
@@ -77,11 +78,35 @@ def op7_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op8_span_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.personal_data(docs, pii.pii_model(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+        F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_sampled_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"])
+    return repeated_bytes(documents(spark, sf_dir)).select(
+        "doc_id",
+        (F.col("n_kept") + n_removed).alias("n_bytes"),
+        n_removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(documents(spark, sf_dir))
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_patricia_owners, op2_additive_model, op4_gated_windows, op3_positional_index, op5_randomness_battery, op6_sentence_rules, op7_coordinate_join, op10_residual_packing)
+    f.__name__: f for f in (op1_patricia_owners, op2_additive_model, op4_gated_windows, op3_positional_index, op5_randomness_battery, op6_sentence_rules, op7_coordinate_join, op8_span_field, op9_sampled_suffixes, op10_residual_packing)
 }
