@@ -244,13 +244,12 @@ def train(texts: list[str], stretches: int = 600, passes: int = 4, rate: float =
 
 def pii_model(docs: DataFrame, sample: int = 2_000, id_col: str = "doc_id", text_col: str = "text") -> SemiMarkov:
     """A field from at most ``sample`` documents with a digit or an at sign: those with the least hash of id and text."""
-    some = (
-        docs.filter(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-        .orderBy("h").limit(sample)
-    )
+    marked = docs.filter(F.col(text_col).rlike("[0-9@]")).withColumn("_h", F.xxhash64(id_col, text_col))
+    last = marked.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
     # only the stretches and a little before them come to the driver, at most 20 from a text
-    near = F.regexp_extract_all("text", F.lit(r"(?:\S+\s)?\S*[0-9@]\S*(?: \S*[0-9@]\S*){0,11}"), F.lit(0))
-    rows = some.select("h", F.concat_ws("\n", F.slice(near, 1, 20)).alias("text")).collect()
+    near = F.regexp_extract_all(text_col, F.lit(r"(?:\S+\s)?\S*[0-9@]\S*(?: \S*[0-9@]\S*){0,11}"), F.lit(0))
+    some = marked.filter(F.col("_h") <= last) if last is not None else marked.limit(0)
+    rows = some.select(F.col("_h").alias("h"), F.concat_ws("\n", F.slice(near, 1, 20)).alias("text")).distinct().collect()
     return train([r.text for r in sorted(rows, key=lambda r: (r.h, r.text))])
 
 
