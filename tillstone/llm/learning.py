@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.llm.common import in_fold
+from tillstone.llm.common import in_fold, parts
 
 
 def training_sample(
@@ -29,7 +29,7 @@ def with_scores(docs: DataFrame, score, text_col: str, column: str = "score") ->
     docs = docs.drop(column)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             values = score([t or "" for t in batch.column(text_col).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.asarray(values, np.float64))], names=[*batch.schema.names, column]

@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.llm.bytehash import SpanHash, mix, slices
-from tillstone.llm.common import Scratch, broadcast_if_small
+from tillstone.llm.common import Scratch, broadcast_if_small, parts
 from tillstone.llm.graph import components
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 BUCKETS = 1 << 18
 
 
@@ -76,7 +76,7 @@ def _signatures(id_col: str, text_col: str, words: int, coordinates: int):
         hasher, rng = SpanHash(7), np.random.default_rng(11)
         factors = rng.integers(0, 1 << 64, coordinates, dtype=np.uint64) | np.uint64(1)
         shifts = rng.integers(0, 1 << 64, coordinates, dtype=np.uint64)
-        for batch in batches:
+        for batch in parts(batches):
             normal = _normal(batch, text_col)
             n = np.zeros(len(normal), np.int64)
             signature = np.zeros((len(normal), coordinates), np.int32)
@@ -149,7 +149,7 @@ def _postings(counts, prefix: int):
 def _sets(text_col: str, words: int):
     def run(batches):
         hasher = SpanHash(7)
-        for batch in batches:
+        for batch in parts(batches):
             normal = [t for t in _normal(batch, text_col) if t]
             for a, b in slices([len(t) for t in normal], BLOCK):
                 hashes, first = _shingles(normal[a:b], words, hasher)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.llm.common import Scratch
+from tillstone.llm.common import Scratch, parts
 
 END = 2
 PIECES = "piece int, start long, length long, ids binary"
@@ -37,7 +37,7 @@ def _encoding(path: str, pattern: str):
 def _pieces(path: str, pattern: str, capacity: int, id_col: str, text_col: str, end: int):
     def run(batches):
         encoding = _encoding(path, pattern)
-        for batch in batches:
+        for batch in parts(batches):
             owner, piece, start, length, ids = [], [], [], [], []
             for i, text in enumerate(batch.column(text_col).to_pylist()):
                 tokens = np.append(encoding.encode_to_numpy(text or "", allowed_special="all"), end).astype("<u4")

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstone.llm.common import parts
+
 # Kinds in order of listing and the parts of their patterns.
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -265,7 +267,7 @@ def personal_data(docs: DataFrame, model: SemiMarkov, id_col: str = "doc_id", te
 
     def run(batches):
         field_ = SemiMarkov(weights)
-        for batch in batches:
+        for batch in parts(batches):
             out = []
             for text in batch.column(text_col).to_pylist():
                 text = text or ""
