@@ -46,9 +46,8 @@ def run(spark: SparkSession, cfg: FlowConfig, stages: tuple[str, ...]) -> None:
     if "ingest" in stages:
         log.info("row counts by cleaning step: %s", ingest(store, cfg))
     if "etl" in stages:
-        build_silver(store, cfg)
-        build_gold(store, cfg)
-        log.info("silver and gold are built")
+        log.info("silver rows: %s", build_silver(store, cfg))
+        log.info("gold rows: %s", build_gold(store, cfg))
     if "train" in stages:
         log.info("run %s is recorded", train(store, cfg))
 

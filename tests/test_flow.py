@@ -9,6 +9,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tillstone.operators.guards import MissingColumnsError
 from tillstone.operators.training import TrainingOptions
 from tillstone.plans import medallion as m
 from tillstone.plans.runs import RunLog
@@ -68,7 +69,7 @@ def test_run_is_recorded(flow):
     assert run.started_at <= run.ended_at
     assert run.row_counts["silver"] == run.row_counts["train"] + run.row_counts["test"] == report.funnel["silver_rows"]
     assert run.row_counts["gold"] == 4
-    assert [f["name"] for f in json.loads(run.schemas["gold"])["fields"]][0] == "Country"
+    assert "Country" in [f["name"] for f in json.loads(run.schemas["gold"])["fields"]]
     assert set(run.schemas) == {"bronze", "silver", "gold"}
 
 
@@ -158,3 +159,43 @@ def test_stages_run_one_by_one(spark, lake):
         main.run(spark, *main.parse([*base, "--stage", stage]))
     assert RunLog(LayerStore(spark, cfg.root)).read().first().status == "FINISHED"
     assert main.parse(base)[1] == main.STAGES
+
+
+def test_missing_columns_stop_the_flow(flow, spark, tmp_path):
+    cfg, _, full = flow
+    store, cfg = LayerStore(spark, str(tmp_path)), replace(cfg, root=str(tmp_path))
+    store.overwrite("bronze", m.read_bronze(full, cfg).drop("Quantity"))
+    with pytest.raises(MissingColumnsError, match="Quantity"):
+        m.build_silver(store, cfg)
+    store.overwrite("silver", m.read_silver(full).drop("Country"))
+    with pytest.raises(MissingColumnsError, match="Country"):
+        m.build_gold(store, cfg)
+    assert not store.has("gold")
+
+
+def test_training_needs_silver_alone_and_records_failures(flow, spark, tmp_path):
+    cfg, _, full = flow
+    store, cfg = LayerStore(spark, str(tmp_path)), replace(cfg, root=str(tmp_path))
+    with pytest.raises(LookupError):
+        RunLog(store).load_model(cfg.model_name)
+    with pytest.raises(FileNotFoundError):
+        m.train(store, cfg)
+    silver = m.read_silver(full)
+    store.overwrite("silver", silver)
+    m.train(store, cfg)
+    runs = {r.status: r for r in RunLog(store).read().collect()}
+    assert set(runs) == {"FAILED", "FINISHED"}
+    assert set(runs["FINISHED"].schemas) == {"silver"} and "gold" not in runs["FINISHED"].row_counts
+
+
+def test_stages_count_what_they_write(flow):
+    _, report, _ = flow
+    assert report.rows == {"silver": report.funnel["silver_rows"], "gold": 4}
+
+
+def test_bronze_reads_in_the_types_it_was_written_with(flow, spark, tmp_path):
+    cfg, _, _ = flow
+    exact = replace(cfg, root=str(tmp_path), price_type="double", id_type="bigint")
+    store = LayerStore(spark, exact.root)
+    m.ingest(store, exact)
+    assert m.build_silver(store, replace(exact, price_type="float", id_type="float")) > 0

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstone.operators.gold import gold_by_country
+from tillstone.operators.guards import MissingColumnsError
 from tillstone.schema import GOLD_DDL, SILVER_DDL
 from tillstone.sources.layers import LayerStore
 from tillstone.sources.paths import scratch_dir
@@ -148,9 +149,12 @@ def test_other_file_format(spark, tmp_path):
     assert store.read("t", SMALL).collect() == [("a", 1)]
 
 
-def test_absent_columns_read_as_null(store, silver):
+def test_absent_columns(store, silver):
     store.overwrite("silver", silver({}).drop("Country"))
-    assert store.read("silver", SILVER_DDL).first().Country is None
+    with pytest.raises(MissingColumnsError, match="Country"):
+        store.read("silver", SILVER_DDL)
+    assert store.read("silver", SILVER_DDL, missing="null").first().Country is None
+    assert "Country" not in store.read("silver", SILVER_DDL, missing="drop").columns
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

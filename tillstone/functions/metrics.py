@@ -10,20 +10,13 @@ def _squared_error(label: Column, prediction: Column) -> Column:
     return F.pow(label - prediction, 2)
 
 
-def rmse(label: Column, prediction: Column, weight: Column | None = None) -> Column:
-    if weight is None:
-        return F.sqrt(F.avg(_squared_error(label, prediction)))
-    return F.sqrt(F.sum(weight * _squared_error(label, prediction)) / F.sum(weight))
+def rmse(label: Column, prediction: Column) -> Column:
+    return F.sqrt(F.avg(_squared_error(label, prediction)))
 
 
-def r2(label: Column, prediction: Column, weight: Column | None = None) -> Column:
+def r2(label: Column, prediction: Column) -> Column:
     """Share of the label's variance that is explained; NaN or -infinity for a constant label."""
-    error = _squared_error(label, prediction)
-    if weight is None:
-        residual = F.sum(error)
-        total = F.var_pop(label) * F.count(label)
-    else:
-        residual = F.sum(weight * error)
-        total = F.sum(weight * label * label) - F.pow(F.sum(weight * label), 2) / F.sum(weight)
+    residual = F.sum(_squared_error(label, prediction))
+    total = F.var_pop(label) * F.count(label)
     constant = F.when(residual > 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
     return F.when(total > 0, F.lit(1.0) - residual / total).otherwise(constant)

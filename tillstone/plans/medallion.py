@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tillstone.operators.clean import clean, funnel_metrics
 from tillstone.operators.gold import gold_by_country
@@ -17,6 +19,8 @@ from tillstone.sources.csv_files import read_retail_csv, with_audit
 from tillstone.sources.layers import LayerStore
 from tillstone.sources.paths import remove, scratch_dir
 
+log = logging.getLogger(__name__)
+
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
@@ -41,6 +45,7 @@ class FlowConfig:
 class FlowReport:
     funnel: dict[str, int]
     run_id: str
+    rows: dict[str, int]
 
 
 def ingest(store: LayerStore, cfg: FlowConfig) -> dict[str, int]:
@@ -61,66 +66,74 @@ def ingest(store: LayerStore, cfg: FlowConfig) -> dict[str, int]:
 
 
 def read_bronze(store: LayerStore, cfg: FlowConfig) -> DataFrame:
-    return store.read(BRONZE, bronze_ddl(cfg.price_type, cfg.id_type))
+    """The declared columns that bronze has, in the types that it was written with."""
+    return store.read(BRONZE, bronze_ddl(cfg.price_type, cfg.id_type), missing="drop", stored_types=True)
 
 
 def read_silver(store: LayerStore) -> DataFrame:
-    return store.read(SILVER, SILVER_DDL)
+    """The declared columns that silver has; what reads it checks for those that it needs."""
+    return store.read(SILVER, SILVER_DDL, missing="drop")
 
 
 def read_gold(store: LayerStore) -> DataFrame:
     return store.read(GOLD, GOLD_DDL)
 
 
-def build_silver(store: LayerStore, cfg: FlowConfig) -> None:
+def _counted(df: DataFrame, layer: str) -> tuple[DataFrame, Observation]:
+    rows = Observation(f"{layer}_rows")
+    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
+
+
+def build_silver(store: LayerStore, cfg: FlowConfig) -> int:
+    """Clean stored bronze into silver; returns the rows written, counted by the write itself."""
     bronze = read_bronze(store, cfg)
     require_any_column(bronze, SILVER)
     warn_if_empty(bronze, SILVER)
-    store.overwrite(SILVER, clean(bronze, reject_nan_price=cfg.reject_nan_price), rebalance_by=("Country",))
+    rows, counted = _counted(clean(bronze, reject_nan_price=cfg.reject_nan_price), SILVER)
+    store.overwrite(SILVER, rows, rebalance_by=("Country",))
+    log.info("silver has %s rows", counted.get["rows"])
+    return counted.get["rows"]
 
 
-def build_gold(store: LayerStore, cfg: FlowConfig) -> None:
-    """Aggregate stored silver, then lay the result out by revenue."""
+def build_gold(store: LayerStore, cfg: FlowConfig) -> int:
+    """Aggregate stored silver, then lay the result out by revenue; returns the rows written."""
     silver = read_silver(store)
     require_columns(silver, GOLD_INPUT_COLUMNS, GOLD)
     split = ("Country",) if cfg.partition_gold else ()
-    store.overwrite(GOLD, gold_by_country(silver, approx=cfg.approx_distinct), partition_by=split)
+    rows, counted = _counted(gold_by_country(silver, approx=cfg.approx_distinct), GOLD)
+    store.overwrite(GOLD, rows, partition_by=split)
     store.cluster(GOLD, GOLD_DDL, ("TotalRevenue",), partition_by=split)
+    log.info("gold has %s rows", counted.get["rows"])
+    return counted.get["rows"]
 
 
 def train(store: LayerStore, cfg: FlowConfig) -> str:
-    """Fit, score, save and record one model; returns the run's id.
+    """Fit, score, save and record one model from silver alone; returns the run's id.
 
-    The row counts come from the files' footers, no column is read for them.
-    Without rows nothing is fitted and the run is recorded as FAILED. A fit
-    that raises is recorded as FAILED and raised again.
+    The schemas are those of the stored layers that exist. Without rows nothing
+    is fitted and the run is recorded as FAILED. Whatever raises after the
+    start, reads included, is recorded as FAILED and raised again.
     """
     runs = RunLog(store)
-    started = utc_now()
-    silver, gold = read_silver(store), read_gold(store)
     options = cfg.training
-    run = {
-        "started_at": started,
-        "params": {**options.params(), "handle_invalid": options.handle_invalid},
-        "schemas": {
-            BRONZE: read_bronze(store, cfg).schema.json(),
-            SILVER: silver.schema.json(),
-            GOLD: gold.schema.json(),
-        },
-    }
-    if warn_if_empty(silver, "train"):
-        return runs.append(cfg.experiment, "FAILED", **run)
+    run = {"started_at": utc_now(), "params": {**options.params(), "handle_invalid": options.handle_invalid}}
     rows_path = scratch_dir(store.spark, "training")
     try:
+        stored = {layer: store.stored_schema(layer) for layer in (BRONZE, SILVER, GOLD) if store.has(layer)}
+        run["schemas"] = {layer: schema.json() for layer, schema in stored.items() if schema is not None}
+        silver = read_silver(store)
+        if warn_if_empty(silver, "train"):
+            return runs.append(cfg.experiment, "FAILED", **run)
         name, version, path = runs.new_model_version(cfg.model_name)
         data = prepare(silver, options, f"{path}/features", rows_path)
         forest = fit_forest(data.train, options)
         counts = {
             SILVER: silver.count(),
-            GOLD: gold.count(),
             "train": data.train.count(),
             "test": data.test.count(),
         }
+        if store.has(GOLD):
+            counts[GOLD] = read_gold(store).count()
         metrics = evaluate(forest.transform(data.test)).first().asDict()
         data.features.save(f"{path}/features")
         forest.write().save(f"{path}/forest")
@@ -137,6 +150,5 @@ def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowReport:
     """All stages in order; an exception stops the run."""
     store = LayerStore(spark, cfg.root)
     funnel = ingest(store, cfg)
-    build_silver(store, cfg)
-    build_gold(store, cfg)
-    return FlowReport(funnel, train(store, cfg))
+    rows = {SILVER: build_silver(store, cfg), GOLD: build_gold(store, cfg)}
+    return FlowReport(funnel, train(store, cfg), rows)

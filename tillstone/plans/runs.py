@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillstone.operators.features import FeatureModel
 from tillstone.sources.layers import LayerStore
+from tillstone.sources.paths import exists
 
 _RUNS_DDL = (
     "run_id string, experiment string, status string, started_at timestamp, ended_at timestamp, "
@@ -82,6 +83,8 @@ class RunLog:
 
     def load_model(self, name: str, version: int | None = None) -> tuple[FeatureModel, RandomForestRegressionModel]:
         """A registered model, the latest version unless one is given."""
+        if not exists(self.spark, self.path):
+            raise LookupError(f"no run was recorded under {self.store.root}")
         rows = self.read().where((F.col("model_name") == name) & (F.col("status") == "FINISHED"))
         if version is not None:
             rows = rows.where(F.col("model_version") == version)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tillstone.operators.guards import MissingColumnsError
 from tillstone.sources.paths import child_names, exists
 
 _VERSION_NAME = re.compile(r"v(\d{5,})$")
@@ -45,14 +47,43 @@ class LayerStore:
                 return path
         raise FileNotFoundError(f"layer {layer!r} under {self.root} has no finished version")
 
-    def read(self, layer: str, schema: str | StructType) -> DataFrame:
+    def has(self, layer: str) -> bool:
+        try:
+            return bool(self.current_path(layer))
+        except FileNotFoundError:
+            return False
+
+    def stored_schema(self, layer: str) -> StructType | None:
+        """What the current version's files hold; none if it has no file, as an empty partitioned table."""
+        path = self.current_path(layer)
+        try:
+            return self.spark.read.format(self.fmt).load(path).schema
+        except AnalysisException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return None
+            raise
+
+    def read(
+        self, layer: str, schema: str | StructType, *, missing: str = "error", stored_types: bool = False
+    ) -> DataFrame:
         """Current version under a declared schema, which also types partition values.
 
-        Null and empty partition values both read back as null. Columns come
-        in the declared order wherever the files keep them.
+        A declared column that the files lack raises MissingColumnsError; with ``missing="drop"`` it is left
+        out and with ``missing="null"`` it reads as null. ``stored_types`` takes the files' types instead of the
+        declared ones. Null and empty partition values both read back as null. Columns come in the declared
+        order wherever the files keep them.
         """
-        rows = self.spark.read.schema(schema).format(self.fmt).load(self.current_path(layer))
         declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        stored = self.stored_schema(layer)
+        if stored is not None:
+            absent = [c for c in declared.names if c not in stored.names]
+            if absent and missing == "error":
+                raise MissingColumnsError(f"{layer}: the stored table lacks {absent}, it has {stored.names}")
+            if missing == "drop":
+                declared = StructType([f for f in declared if f.name not in absent])
+            if stored_types:
+                declared = StructType([stored[f.name] if f.name in stored.names else f for f in declared])
+        rows = self.spark.read.schema(declared).format(self.fmt).load(self.current_path(layer))
         return rows.select(*declared.names)
 
     def overwrite(
