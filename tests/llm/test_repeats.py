@@ -67,6 +67,19 @@ def test_equals_brute_force(spark):
     check(spark, corpus(), width=100, parts=9)
 
 
+def test_windows_of_hot_grams_are_shuffled(spark):
+    check(spark, corpus(), group=1)
+    check(spark, corpus(), group=4)
+
+
+def test_grams_that_span_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        check(spark, corpus())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_without_broadcasts(spark):
     check(spark, corpus(), small=0)
 

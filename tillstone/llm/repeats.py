@@ -7,7 +7,9 @@ stands for all of them. A run is the tuple (gram, content of the whole run,
 document, start). Runs with equal content settle all their windows at once:
 the first occurrence stays, the others are covered. Only where one gram has
 runs of different content, at the edges of a shared passage, are single
-windows compared, and of these only those of each content's first occurrence.
+windows compared, and of these only those of each content's first occurrence:
+within a task that gets the bytes of a gram's runs, or, for a gram with very
+many of them, by a shuffle of the windows.
 """
 
 from __future__ import annotations
@@ -87,17 +89,6 @@ class _Runs:
         begin = p - first[owner] + np.fromiter((a for _, a, _ in rows), np.int64, len(rows))[owner]
         return text, begin, count, grams[q], content
 
-    def windows(self, data: bytes, starts: np.ndarray) -> np.ndarray:
-        """Content hashes of single windows of one text."""
-        out = np.empty(len(starts), np.uint64)
-        for at in range(0, len(data), BLOCK):
-            own = (starts >= at) & (starts < at + BLOCK)
-            if own.any():
-                part = np.frombuffer(data[at : at + BLOCK + self.width], np.uint8)
-                here = starts[own] - at
-                out[own] = mix(self.span.spans(self.span.prefix(part), here, here + self.width))
-        return out
-
 
 def _binary(batch: pa.RecordBatch) -> list[bytes]:
     return pc.fill_null(batch.column("text").cast(pa.large_string()), "").cast(pa.large_binary()).to_pylist()
@@ -163,29 +154,99 @@ def _sample(width: int, whole: bool):
     return run
 
 
-def _edges(width: int):
-    """(gram, window hash, id, tid, start) of the single windows of listed runs."""
-
-    def run(batches):
-        finder = _Runs(width)
-        for batch in batches:
-            owner, grams, hashes, starts = [], [], [], []
-            for i, (data, runs) in enumerate(zip(_binary(batch), batch.column("runs").to_pylist())):
-                at = np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in runs])
-                grams.append(np.repeat([r["gram"] for r in runs], [r["n"] for r in runs]))
-                hashes.append(finder.windows(data, at).view(np.int64))
-                starts.append(at)
-                owner.append(np.full(len(at), i))
+def _edges(batches):
+    """(gram, hot, id, tid, start, bytes) of listed runs."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            owner, columns = [], ([], [], [], [])
+            for i, (data, runs) in enumerate(zip(_binary(part), part.column("runs").to_pylist())):
+                for r in runs:
+                    owner.append(i)
+                    for column, value in zip(columns, (r["gram"], r["hot"], r["start"], data[r["start"] : r["end"]])):
+                        column.append(value)
             if owner:
-                owner = pa.array(np.concatenate(owner))
+                owner = pa.array(owner)
+                gram, hot, start, data = columns
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(grams)), pa.array(np.concatenate(hashes)),
-                        batch.column("id").take(owner), batch.column("tid").take(owner), pa.array(np.concatenate(starts)),
+                        pa.array(gram, pa.int64()), pa.array(hot, pa.bool_()), part.column("id").take(owner),
+                        part.column("tid").take(owner), pa.array(start, pa.int64()), pa.array(data, pa.binary()),
                     ],
-                    names=["gram", "window", "id", "tid", "start"],
+                    names=["gram", "hot", "id", "tid", "start", "data"],
                 )
 
+
+def _exploded(finder: _Runs, data: list[bytes]):
+    """Row number, place in the row and content hash of each window of these byte strings."""
+    sizes = np.fromiter(map(len, data), np.int64, len(data))
+    first = np.cumsum(sizes) - sizes
+    count = sizes - finder.width + 1
+    row = np.repeat(np.arange(len(data)), count)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    at = first[row] + place
+    sums = finder.span.prefix(np.frombuffer(b"".join(data), np.uint8))
+    return row, place, mix(finder.span.spans(sums, at, at + finder.width))
+
+
+def _windows(width: int):
+    """(gram, window hash, id, tid, start) of the single windows of runs."""
+
+    def run(batches):
+        finder = _Runs(width)
+        for batch in batches:
+            row, place, window = _exploded(finder, batch.column("data").to_pylist())
+            owner = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("gram").take(owner), pa.array(window.view(np.int64)), batch.column("id").take(owner),
+                    batch.column("tid").take(owner), pa.array(batch.column("start").to_numpy()[row] + place),
+                ],
+                names=["gram", "window", "id", "tid", "start"],
+            )
+
+    return run
+
+
+def _settled(width: int):
+    """(id, tid, start, end) of covered stretches of runs that come grouped by gram; whole grams are held, a few at a time."""
+
+    def settle(finder: _Runs, runs: pa.Table) -> pa.Table:
+        runs = runs.take(pc.sort_indices(runs, [(k, "ascending") for k in ("id", "tid", "start")], null_placement="at_end"))
+        row, place, window = _exploded(finder, runs.column("data").to_pylist())
+        gram = runs.column("gram").to_numpy()[row]
+        by = np.lexsort((window, gram))  # stable: of equal windows the earliest comes first
+        again = np.zeros(len(by), bool)
+        again[by[1:]] = (gram[by[1:]] == gram[by[:-1]]) & (window[by[1:]] == window[by[:-1]])
+        joined = np.zeros(len(by), bool)
+        joined[1:] = again[1:] & again[:-1] & (row[1:] == row[:-1])
+        head = np.flatnonzero(again & ~joined)
+        tail = np.flatnonzero(again & ~np.append(joined[1:], False))
+        start = runs.column("start").to_numpy()[row[head]]
+        owner = pa.array(row[head])
+        return pa.table(
+            [runs.column("id").take(owner), runs.column("tid").take(owner), pa.array(start + place[head]), pa.array(start + place[tail] + width)],
+            names=["id", "tid", "start", "end"],
+        )
+
+    def run(batches):
+        finder, held, last = _Runs(width), [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gram = batch.column("gram").to_numpy()
+            cut = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on in the next batch
+            held.append(batch.slice(0, cut))
+            if cut or gram[0] != last:
+                ready = pa.Table.from_batches(held)
+                if ready.num_rows:
+                    yield from settle(finder, ready).to_batches()
+                held = []
+            held.append(batch.slice(cut))
+            last = gram[-1]
+        if held:
+            yield from settle(finder, pa.Table.from_batches(held)).to_batches()
+
     return run
 
 
@@ -213,8 +274,19 @@ def _cut(batches):
         )
 
 
+def _lists_broadcast_if_small(df: DataFrame, column: str, entries: int) -> DataFrame:
+    """Mark a stored table for broadcast when its lists have at most so many entries in all."""
+    total = df.agg(F.sum(F.size(column))).first()[0] or 0
+    return F.broadcast(df) if total <= entries else df
+
+
 def repeated_bytes(
-    docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str = "text", small: int = 2_000_000
+    docs: DataFrame,
+    width: int = 100,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    small: int = 2_000_000,
+    group: int = 2_000,
 ) -> DataFrame:
     """One row per row of docs: id, ``removed`` (maximal byte ranges start, end), ``n_kept``, ``kept_sha256``.
 
@@ -222,7 +294,8 @@ def repeated_bytes(
     the same text, judged on the whole input in UTF-8. Null text is empty; null ids come last; rows that share an
     id are different texts in the order of their hash, unless the texts are equal too: then they are one row and
     fare alike. Shorter texts and empty tables lose nothing; other columns are not read. ``small`` bounds what is
-    broadcast. Windows are told apart by 128 bits of hash.
+    broadcast, in rows or list entries. Grams with up to ``group`` different runs are settled within a task, those
+    with more by a shuffle of their windows, with equal results. Windows are told apart by 128 bits of hash.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
@@ -240,16 +313,18 @@ def repeated_bytes(
     runs_left = scratch.store(
         runs.filter("NOT done").withColumn("key", key).withColumn("stays", F.col("key") == first).drop("key", "done"), "judged"
     )
-    kinds = runs_left.filter("stays").groupBy("gram").agg(F.countDistinct("content").alias("c")).filter("c > 1").select("gram")
-    edge = (
-        runs_left.filter("stays").join(kinds, "gram", "left_semi").groupBy("id", "tid")
-        .agg(F.collect_set(F.struct("gram", "start", "n")).alias("runs"))
-    )
-    edge = broadcast_if_small(scratch.store(edge, "edges"), small // 20)
+    kinds = runs_left.filter("stays").groupBy("gram").agg(F.countDistinct("content").alias("c")).filter("c > 1")
+    kinds = kinds.select("gram", (F.col("c") > group).alias("hot"))
+    stretch = F.struct("gram", "hot", "start", (F.col("start") + F.col("n") - 1 + width).alias("end"))
+    edge = runs_left.filter("stays").join(kinds, "gram").groupBy("id", "tid").agg(F.collect_set(stretch).alias("runs"))
+    edge = _lists_broadcast_if_small(scratch.store(edge, "listed"), "runs", small)
     same = lambda a, b: (a["id"].eqNullSafe(b["id"])) & (a["tid"] == b["tid"])
     listed = texts.join(edge, same(texts, edge)).select(texts["id"], texts["tid"], "text", "runs")
-    windows = listed.mapInArrow(_edges(width), f"gram long, window long, id {kind}, tid long, start long")
-    windows = scratch.store(windows, "windows")
+    edges = listed.mapInArrow(_edges, f"gram long, hot boolean, id {kind}, tid long, start long, data binary")
+    edges = scratch.store(edges, "edges")
+    cold = edges.filter("NOT hot").repartition("gram").dropDuplicates(["gram", "id", "tid", "start"]).sortWithinPartitions("gram")
+    cold = cold.select("gram", "id", "tid", "start", "data").mapInArrow(_settled(width), f"id {kind}, tid long, start long, end long")
+    windows = edges.filter("hot").mapInArrow(_windows(width), f"gram long, window long, id {kind}, tid long, start long")
     least = windows.groupBy("gram", "window").agg(F.min(key).alias("least"), F.count("*").alias("c")).filter("c > 1")
     again = windows.join(least, ["gram", "window"]).filter(key != F.col("least"))
 
@@ -257,10 +332,12 @@ def repeated_bytes(
     cover = (
         runs.filter("done").select("id", "tid", "start", end)
         .unionByName(runs_left.filter("NOT stays").select("id", "tid", "start", end))
+        .unionByName(cold)
         .unionByName(again.select("id", "tid", "start", (F.col("start") + width).alias("end")))
     )
     cover = scratch.store(cover.groupBy("id", "tid").agg(F.collect_set(F.struct("start", "end")).alias("cover")), "cover")
+    cover = _lists_broadcast_if_small(cover, "cover", small)
     found = texts.join(cover, same(texts, cover), "left").select(texts["id"], "text", "cover")
     out = found.mapInArrow(_cut, f"id {kind}, removed array<struct<start:long,end:long>>, n_kept long, kept_sha256 string")
-    scratch.drop("grams", "runs", "judged", "edges", "windows")
+    scratch.drop("grams", "runs", "judged", "listed", "edges")
     return out.withColumnRenamed("id", id_col)
