@@ -25,10 +25,11 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tillstone.llm.bytehash import SpanHash, mix
-from tillstone.llm.common import Scratch, broadcast_if_small
+from tillstone.llm.common import Scratch, broadcast_if_small, parts
 
 GRAM = 32
 BLOCK = 1 << 20
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _anchors(grams: np.ndarray, n: int) -> np.ndarray:
@@ -156,25 +157,23 @@ def _sample(width: int, whole: bool):
 
 def _edges(batches):
     """(gram, hot, id, tid, start, bytes) of listed runs."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            owner, columns = [], ([], [], [], [])
-            for i, (data, runs) in enumerate(zip(_binary(part), part.column("runs").to_pylist())):
-                for r in runs:
-                    owner.append(i)
-                    for column, value in zip(columns, (r["gram"], r["hot"], r["start"], data[r["start"] : r["end"]])):
-                        column.append(value)
-            if owner:
-                owner = pa.array(owner)
-                gram, hot, start, data = columns
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(gram, pa.int64()), pa.array(hot, pa.bool_()), part.column("id").take(owner),
-                        part.column("tid").take(owner), pa.array(start, pa.int64()), pa.array(data, pa.binary()),
-                    ],
-                    names=["gram", "hot", "id", "tid", "start", "data"],
-                )
+    for part in parts(batches):
+        owner, columns = [], ([], [], [], [])
+        for i, (data, runs) in enumerate(zip(_binary(part), part.column("runs").to_pylist())):
+            for r in runs:
+                owner.append(i)
+                for column, value in zip(columns, (r["gram"], r["hot"], r["start"], data[r["start"] : r["end"]])):
+                    column.append(value)
+        if owner:
+            owner = pa.array(owner)
+            gram, hot, start, data = columns
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(gram, pa.int64()), pa.array(hot, pa.bool_()), part.column("id").take(owner),
+                    part.column("tid").take(owner), pa.array(start, pa.int64()), pa.array(data, pa.binary()),
+                ],
+                names=["gram", "hot", "id", "tid", "start", "data"],
+            )
 
 
 def _exploded(finder: _Runs, data: list[bytes]):
@@ -250,23 +249,35 @@ def _settled(width: int):
     return run
 
 
+def _merged(batches):
+    """Covered stretches of each text as maximal disjoint ones in order."""
+    for batch in parts(batches):
+        merged = []
+        for cover in batch.column("cover").to_pylist():
+            out = []
+            for start, end in sorted((c["start"], c["end"]) for c in cover):
+                if out and start <= out[-1]["end"]:
+                    out[-1]["end"] = max(out[-1]["end"], end)
+                else:
+                    out.append({"start": start, "end": end})
+            merged.append(out)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("tid"), pa.array(merged, SPANS)], names=["id", "tid", "cover"]
+        )
+
+
 def _cut(batches):
+    """Removed stretches of each text, and size and hash of what is left."""
     for batch in batches:
         spans, kept = [], []
         for data, cover in zip(_binary(batch), batch.column("cover").to_pylist()):
-            merged = []
-            for piece in sorted(((c["start"], c["end"]) for c in cover or ())):
-                if merged and piece[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], piece[1])
-                else:
-                    merged.append(list(piece))
-            edges = [0, *(x for m in merged for x in m), len(data)]
-            spans.append([{"start": a, "end": b} for a, b in merged])
+            spans.append(cover or [])
+            edges = [0, *(x for c in spans[-1] for x in (c["start"], c["end"])), len(data)]
             kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                pa.array(spans, SPANS),
                 pa.array([len(k) for k in kept], pa.int64()),
                 pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
             ],
@@ -335,7 +346,8 @@ def repeated_bytes(
         .unionByName(cold)
         .unionByName(again.select("id", "tid", "start", (F.col("start") + width).alias("end")))
     )
-    cover = scratch.store(cover.groupBy("id", "tid").agg(F.collect_set(F.struct("start", "end")).alias("cover")), "cover")
+    cover = cover.groupBy("id", "tid").agg(F.collect_set(F.struct("start", "end")).alias("cover"))
+    cover = scratch.store(cover.mapInArrow(_merged, f"id {kind}, tid long, cover array<struct<start:long,end:long>>"), "cover")
     cover = _lists_broadcast_if_small(cover, "cover", small)
     found = texts.join(cover, same(texts, cover), "left").select(texts["id"], "text", "cover")
     out = found.mapInArrow(_cut, f"id {kind}, removed array<struct<start:long,end:long>>, n_kept long, kept_sha256 string")
