@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import Scratch, documents
+from tillstone.llm.common import Scratch, documents, small_batches
 from tillstone.llm.decontaminate import without_contaminated
 from tillstone.llm.exact_dedup import without_copies
 from tillstone.llm.near_dedup import without_near_copies
@@ -19,6 +19,7 @@ from tillstone.llm.toxicity import without_toxic
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.3; the model learns from labelled rows outside the held-out fold."""
+    small_batches(spark)
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

@@ -39,6 +39,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Have Spark hand Python at most so many rows at a time, unless the session says otherwise than by default.
+
+    Whole texts make large Arrow buffers, which an executor's JVM holds outside its heap, two tasks' worth and more.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def parts(batches, rows: int = 1000):
     """Arrow batches in slices, so that a task holds Python objects for a few rows at a time."""
     for batch in batches:
