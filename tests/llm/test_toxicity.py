@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tillstone.llm.toxicity import Network, Options, scored, toxicity_model, train, without_toxic
+from tillstone.llm.toxicity import Evidence, Network, Options, scored, toxicity_model, train, without_toxic
 
 CLEAN = "the stone river walks under bright morning clouds and green hills carry quiet songs über été".split()
 BAD = ["idiot", "worthless", "scum"]
@@ -80,3 +80,8 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and 60 < kept.count() < len(rows)
     assert scored(docs.filter("false"), train([], [])).count() == 0
     assert scored(docs, train(["a"], [1])).filter("score < 0.1").count() == len(rows)
+
+
+def test_word_counts_come_in_an_order_that_no_process_changes():
+    words = [f"w{i}" for i in range(50)]
+    assert list(Evidence([" ".join(reversed(words))], [0]).words[0]) == sorted(words)

@@ -69,7 +69,7 @@ class Evidence:
         self.words, self.chars = {0: Counter(), 1: Counter()}, np.zeros((2, CHARS), np.float32)
         self.rows = np.bincount(np.asarray(labels, np.int64), minlength=2)
         for text, label in zip(texts, labels):
-            words = list(set(WORD.findall(text.lower())))
+            words = sorted(set(WORD.findall(text.lower())))  # the order of a set differs between processes
             self.words[int(label)].update(words)
             if words:
                 self.chars[int(label), np.unique(_grams(words, 5, CHARS)[0])] += 1
