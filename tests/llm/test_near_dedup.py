@@ -7,7 +7,7 @@ import pytest
 
 from tillstone.llm.common import Scratch
 from tillstone.llm.graph import components
-from tillstone.llm.near_dedup import near_duplicates, without_near_copies
+from tillstone.llm.near_dedup import agreeing, near_duplicates, without_near_copies
 
 SCHEMA = "doc_id long, text string, cid long, kept int"
 
@@ -87,6 +87,20 @@ def test_kept_rows_are_whole_and_shared_ids_fall_together(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(1, "a b c d e f", None), (None, "a b c d e f", "n")], key=str)
 
 
+def test_links_from_80_to_85_percent_are_dropped_unless_the_caller_says_otherwise(spark):
+    words = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(words)), (1, " ".join("x" if i in (30, 70, 110) else w for i, w in enumerate(words))), (2, "else " * 9)]
+    a, b = (shingles(t) for _, t in rows[:2])
+    assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = lambda **options: {r.doc_id for r in without_near_copies(df, **options).collect()}
+    assert kept() == {0, 2} and kept(percent=85) == {0, 1, 2}
+
+
+def test_agreement_follows_the_threshold():
+    assert [agreeing(p, 32) for p in (100, 85, 80, 50, 20)] == [32, 16, 14, 4, 1]
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

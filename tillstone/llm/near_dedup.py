@@ -24,6 +24,8 @@ be a link: components are those of the full link graph.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,6 +39,7 @@ from tillstone.llm.graph import components
 
 BLOCK = 1 << 19
 BUCKETS = 1 << 18
+MISS = 2e-6  # bound of the probability that a pair at the threshold agrees in too few coordinates
 
 
 def _normal(batch: pa.RecordBatch, text_col: str) -> list[bytes]:
@@ -162,6 +165,16 @@ def _sets(text_col: str, words: int):
     return run
 
 
+def agreeing(percent: int, coordinates: int) -> int:
+    """The most coordinates, one at least, in which a pair at ``percent`` agrees but for a probability of MISS."""
+    share, less = percent / 100, 0.0
+    for k in range(coordinates):
+        less += comb(coordinates, k) * share**k * (1 - share) ** (coordinates - k)
+        if less > MISS:
+            return max(k, 1)
+    return coordinates
+
+
 class _Search:
     """The tables of one call and the steps over them."""
 
@@ -330,18 +343,20 @@ def near_duplicates(
     words: int = 5,
     percent: int = 85,
     coordinates: int = 32,
-    agree: int = 16,
+    agree: int | None = None,
     small: int = 500_000,
 ) -> DataFrame:
     """One row per row of docs: id, ``n_shingles``, ``component_id``, ``kept``.
 
     Two documents are linked when 100 times the common part of their shingle sets is at least ``percent`` times
-    the union; ``component_id`` is the smallest id reachable. With 32 coordinates and 16 that must agree, a pair
-    at 85 percent is missed with probability 6e-7; more alike ones with less. ``small`` bounds the rows that are
-    broadcast. A text of fewer than ``words`` words is one shingle; an empty or null text, or a null id, is
+    the union; ``component_id`` is the smallest id reachable. A pair must agree in ``agree`` coordinates, by default
+    so many that one at the threshold is missed with a probability of at most 2e-6 and more alike ones with less:
+    of 32 it is 16 at 85 percent (6e-7) and 14 at 80 (1.2e-6). Below 35 percent one of 32 is too much to ask for
+    that; take more coordinates there. ``small`` bounds the rows that are broadcast. A text of fewer than ``words`` words is one shingle; an empty or null text, or a null id, is
     linked with nothing and kept. Rows that share an id are one document with several texts. An empty table
     gives no rows and other columns are not read. Needs about 60 bytes of memory per byte of the longest text.
     """
+    agree = agreeing(percent, coordinates) if agree is None else agree
     search = _Search(docs, id_col, text_col, words, percent, coordinates, agree, small)
     links = search.confirm(search.star(search.postings.withColumn("top", F.col("n"))), "star")
     lists = search.open_lists(search.postings, links, "open")
@@ -371,8 +386,15 @@ def near_duplicates(
     )
 
 
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small: int = 500_000) -> DataFrame:
+def without_near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    percent: int = 80,
+    small: int = 500_000,
+) -> DataFrame:
     """The rows of docs whose id is the smallest of its component; rows with a null id stay."""
-    out = near_duplicates(docs, id_col, text_col, small=small).filter("NOT kept").select(id_col).distinct()
+    out = near_duplicates(docs, id_col, text_col, words, percent, small=small).filter("NOT kept").select(id_col).distinct()
     dropped = Scratch(docs.sparkSession, "near").store(out, "dropped")
     return docs.join(broadcast_if_small(dropped, small), id_col, "left_anti").select(*docs.columns)

@@ -75,7 +75,7 @@ def op6_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir), percent=85)
 
 
 def op8_span_field(spark: SparkSession, sf_dir: str) -> DataFrame:
