@@ -1,16 +1,23 @@
 """Licence scan by sentence rules, in DataFrame operations only.
 
-Texts are cut into sentences, each normal form is looked up among the known
-licence sentences, and the identifiers of a document in order are matched
-against rules, which are ordered identifier sequences. Known sentences and
-rules are fixed tables, so both stay on every executor; only known sentences
-leave the scan.
+Texts are cut into pieces at sentence ends and line breaks. A known licence
+sentence is found where the normal forms of one piece, or of several that
+follow one another within a sentence, make it up: files are wrapped at some
+column and often commented out. The identifiers of a document in order are
+matched against rules, which are ordered identifier sequences. Known sentences
+and rules are fixed tables, so both stay on every executor. Only texts whose
+whole normal form holds a known sentence are cut, and only pieces that are part
+of one leave the scan.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Normal forms of licence sentences (lower-case words with one space), numbered from 1.
 SENTENCES = [
@@ -68,8 +75,10 @@ RULES = [
     ("GPL-3.0", "identifier", [28]),
     ("proprietary", "reservation", [29]),
 ]
-#: A sentence ends at a line break, or at . ! ? ; before white space or the end.
-ENDS = r"[.!?;]+(?:\s+|$)|\n+"
+#: A piece ends at a line break, or at . ! ? ; before white space or the end. Sentences go on beyond line breaks and ;
+#: which stands inside some and before commented lines; the rest of the ends is for certain.
+FULL_STOPS = r"(?<![.!?;]);*+[.!?][.!?;]*+(?:\s+|\z)"
+OTHER_ENDS = r"(?<!;);++(?:\s+|\z)|\n+"
 
 
 def normal(sentence: Column) -> Column:
@@ -80,6 +89,14 @@ def known_sentences(spark: SparkSession, sentences: list[str] = SENTENCES) -> Da
     return spark.createDataFrame([(s, i + 1) for i, s in enumerate(sentences)], "sentence string, sid int")
 
 
+def sentence_parts(known: DataFrame) -> DataFrame:
+    """(part, sid, a, b, n): every run of words a to b (from 0, b beyond) of each known sentence of n words."""
+    words = known.select("sid", F.split("sentence", " ").alias("w")).withColumn("n", F.size("w"))
+    begun = words.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("a"))
+    ended = begun.select("*", F.explode(F.sequence(F.col("a") + 1, "n")).alias("b"))
+    return ended.select(F.array_join(F.slice("w", F.col("a") + 1, F.col("b") - F.col("a")), " ").alias("part"), "sid", "a", "b", "n")
+
+
 def licences(
     docs: DataFrame,
     sentences: list[str] = SENTENCES,
@@ -87,24 +104,72 @@ def licences(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per rule found in a row of docs: id, ``licence``, ``rule``, ``first`` and ``last`` sentence (from 0).
+    """One row per rule found in a row of docs: id, ``licence``, ``rule``, ``first`` and ``last`` piece (from 0).
 
-    A rule matches where its identifiers follow one another among the document's known sentences, whatever
-    unknown ones stand between. A match inside a longer one is left out; each occurrence counts. Null or empty
-    texts and empty tables give no rows, null ids are kept, rows equal in id and text report alike, other
-    columns are not read.
+    A sentence may stand on several lines, with blank ones and comment signs (no letters or digits) between; it
+    must begin and end with a piece. A sentence whose pieces lie among those of a longer one is left out. A rule
+    matches where its identifiers follow one another among the document's known sentences, whatever unknown ones
+    stand between. A match inside a longer one is left out; each occurrence counts. Null or empty texts and empty
+    tables give no rows, null ids are kept, rows equal in id and text report alike, other columns are not read.
     """
     spark = docs.sparkSession
-    numbered = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("rid"))
-    cut = numbered.select(
-        "id", "rid", F.posexplode(F.split(F.coalesce("text", F.lit("")), ENDS, -1)).alias("at", "sentence")
+    numbered = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("rid")
     )
-    # the known sentences are a fixed table, so their size doesn't follow the input
-    known = cut.select("id", "rid", "at", normal(F.col("sentence")).alias("sentence")).join(
-        F.broadcast(known_sentences(spark, sentences)), "sentence"
+    # the pieces of a known sentence make it up in the normal form of the whole too, so nothing else has any
+    holds = lambda text: F.exists(  # noqa: E731  an array of one, so that the normal form is computed once
+        F.array(normal(text)), lambda whole: reduce(or_, [F.contains(whole, F.lit(s)) for s in sentences], F.lit(False))
+    )
+    # that form is dear, so texts without some sentence's three longest words are left out first
+    longest_words = [sorted(set(s.split()), key=lambda w: (-len(w), w))[:3] for s in sentences]
+    may = F.exists(
+        F.array(F.lower("text")),
+        lambda low: reduce(
+            or_, [reduce(and_, [F.contains(low, F.lit(w)) for w in some], F.lit(True)) for some in longest_words], F.lit(False)
+        ),
+    )
+    stretches = F.transform(
+        F.split("text", FULL_STOPS, -1), lambda s, k: F.struct(s.alias("s"), k.alias("k"), holds(s).alias("holds"))
+    )
+    pieces = F.flatten(
+        F.transform(
+            stretches,
+            lambda s: F.transform(
+                F.split(s["s"], OTHER_ENDS, -1),
+                lambda p: F.struct(s["k"].alias("k"), s["holds"].alias("holds"), normal(p).alias("part")),
+            ),
+        )
+    )
+    cut = (
+        numbered.filter(may).filter(holds(F.col("text"))).select("id", "rid", F.posexplode(pieces).alias("at", "x"))
+        .filter("x.holds AND x.part != ''").select("id", "rid", "at", "x.k", "x.part")
+    )
+    before = Window.partitionBy("rid", "k").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.size(F.split("part", " "))
+    placed = cut.withColumn("word", F.coalesce(F.sum(size).over(before), F.lit(0)))
+    # the known sentences are a fixed table, so their parts' size doesn't follow the input
+    parts = placed.join(F.broadcast(sentence_parts(known_sentences(spark, sentences))), "part")
+    # pieces that belong to one place of a sentence agree in the word where it would begin; together they must fill it
+    known = (
+        parts.groupBy("rid", "k", "sid", (F.col("word") - F.col("a")).alias("begin"))
+        .agg(
+            F.first("id").alias("id"), F.first("n").alias("n"), F.sum(F.col("b") - F.col("a")).alias("filled"),
+            F.min("at").alias("at"), F.max("at").alias("end"),
+        )
+        .filter("filled = n")
     )
     seen = known.groupBy("rid").agg(
-        F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("at", "sid"))).alias("seen")
+        F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("at", "sid", "end"))).alias("seen")
+    )
+    seen = seen.withColumn("long", F.filter("seen", lambda s: s["end"] > s["at"])).withColumn(
+        "seen",
+        F.filter(
+            "seen",
+            lambda s: ~F.exists(
+                "long",
+                lambda l: (l["at"] <= s["at"]) & (l["end"] >= s["end"]) & (l["end"] - l["at"] > s["end"] - s["at"]),
+            ),
+        ),
     )
     seen = seen.withColumn("sids", F.transform("seen", lambda s: s["sid"]))
     table = F.array(
@@ -130,7 +195,7 @@ def licences(
         ),
     )
     rows = found.select("id", "seen", F.explode(longest).alias("x"))
-    at = lambda place: F.get("seen", F.col(place) - 1)["at"].cast("long")
+    at = lambda place, side: F.get("seen", F.col(place) - 1)[side].cast("long")
     return rows.select(
-        F.col("id").alias(id_col), "x.licence", "x.rule", at("x.a").alias("first"), at("x.b").alias("last")
+        F.col("id").alias(id_col), "x.licence", "x.rule", at("x.a", "at").alias("first"), at("x.b", "end").alias("last")
     )
