@@ -115,3 +115,14 @@ def test_rows(spark):
         held = [(s.start, s.end) for s in r.spans if s.base]
         assert not any(a < s.end and s.start < b for s in r.spans if not s.base for a, b in held)
     assert personal_data(docs.filter("false"), train([])).count() == 0
+
+
+def test_trains_on_all_stretches_of_the_sample(spark, monkeypatch):
+    learned = set()
+    gradient = SemiMarkov.gradient
+    monkeypatch.setattr(SemiMarkov, "gradient", lambda self, net, gold: learned.update(k for _, _, k in gold) or gradient(self, net, gold))
+    long = "x" * 500 + "1 " + " ".join("5555" for _ in range(90)) + " 4111-1111-1111-1111"
+    rows = [(0, "\n".join(f"{1000 + i} plain {2000 + i}.5555.{i}" for i in range(700)) + "\nmail a1@mail.example.org")]
+    rows += [(1, " and ".join(f"on {1234567 + i}" for i in range(30)) + " from 10.1.2.3"), (2, long)]
+    pii_model(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {KINDS[k] for k in learned} == {"email", "ip", "card"}

@@ -12,6 +12,7 @@ look alike but that no pattern covers.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -34,6 +35,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _STRETCH = re.compile(r"(?:(?<!\S)[^\s0-9@]++[ ])?(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:[ ][^\s0-9@]*+[0-9@]\S*+)*+")
 _TOKEN = re.compile(r"[0-9]+|[^\W0-9_]+|\s|.", re.S)
 LONGEST = 24  # tokens of a segment
+PIECE = 400  # characters that a piece of a stretch holds in training
 
 
 def luhn(digits: str) -> bool:
@@ -219,40 +221,62 @@ def _gold(net: Lattice, spans: list[tuple[int, int, int]]) -> set[tuple[int, int
     return out
 
 
-def train(texts: list[str], stretches: int = 600, passes: int = 4, rate: float = 0.3, decay: float = 0.01) -> SemiMarkov:
-    """A field fitted to the pattern segmentations of the texts, from at most ``stretches`` of their stretches."""
+def _pieces(text: str, start: int, end: int, spans: list[tuple[int, int, int]]):
+    """A stretch as (start, end) of pieces that begin at a token, not inside a span, and hold about PIECE characters."""
+    for m in _TOKEN.finditer(text, start, end):
+        at = m.start()
+        if at - start >= PIECE and not any(s < at < e for s, _, e in spans):
+            yield start, at
+            start = at
+    yield start, end
+
+
+def train(
+    texts: list[str], stretches: int | None = None, passes: int = 4, rate: float = 0.3, decay: float = 0.01
+) -> SemiMarkov:
+    """A field fitted to the pattern segmentations of the texts: of all their distinct stretches, or the first ``stretches``.
+
+    Long stretches are learned from in pieces. A lattice is built anew in each pass, so that only one is held.
+    """
     examples, seen = [], set()
     for text in texts:
         spans = base_spans(text)
         for m in _STRETCH.finditer(text):
-            if m[0] in seen or m.end() - m.start() > 400:
+            if m[0] in seen:
                 continue
             seen.add(m[0])
-            net = lattice(text, m.start(), m.end())
-            if net.segments:
-                examples.append((net, _gold(net, spans)))
-        if len(examples) >= stretches:
-            break
+            own = spans[bisect_left(spans, (m.start(),)) : bisect_left(spans, (m.end(),))]
+            for a, b in _pieces(text, m.start(), m.end(), own):
+                if lattice(text, a, b).segments:
+                    examples.append((text, a, b, own))
+    examples = examples[:stretches]
     model = SemiMarkov()
     rng, squares = np.random.default_rng(3), defaultdict(float)
     for _ in range(passes):
         for k in rng.permutation(len(examples)):
-            for name, change in model.gradient(*examples[k]).items():
+            text, a, b, spans = examples[k]
+            net = lattice(text, a, b)
+            for name, change in model.gradient(net, _gold(net, spans)).items():
                 change -= decay * model.w[name]
                 squares[name] += change * change
                 model.w[name] += rate * change / (squares[name] ** 0.5 + 1e-6)
     return SemiMarkov(dict(model.w))
 
 
-def pii_model(docs: DataFrame, sample: int = 2_000, id_col: str = "doc_id", text_col: str = "text") -> SemiMarkov:
-    """A field from at most ``sample`` documents with a digit or an at sign: those with the least hash of id and text."""
+def pii_model(
+    docs: DataFrame, sample: int = 2_000, id_col: str = "doc_id", text_col: str = "text", stretches: int | None = None
+) -> SemiMarkov:
+    """A field from at most ``sample`` documents with a digit or an at sign: those with the least hash of id and text.
+
+    It learns from all stretches of these, or from the first ``stretches``.
+    """
     marked = docs.filter(F.col(text_col).rlike("[0-9@]")).withColumn("_h", F.xxhash64(id_col, text_col))
     last = marked.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
-    # only the stretches and a little before them come to the driver, at most 20 from a text
+    # only the stretches and a little before them come to the driver, in runs of at most 12 parts
     near = F.regexp_extract_all(text_col, F.lit(r"(?:\S+\s)?\S*[0-9@]\S*(?: \S*[0-9@]\S*){0,11}"), F.lit(0))
     some = marked.filter(F.col("_h") <= last) if last is not None else marked.limit(0)
-    rows = some.select(F.col("_h").alias("h"), F.concat_ws("\n", F.slice(near, 1, 20)).alias("text")).distinct().collect()
-    return train([r.text for r in sorted(rows, key=lambda r: (r.h, r.text))])
+    rows = some.select(F.col("_h").alias("h"), F.concat_ws("\n", near).alias("text")).distinct().collect()
+    return train([r.text for r in sorted(rows, key=lambda r: (r.h, r.text))], stretches)
 
 
 def personal_data(docs: DataFrame, model: SemiMarkov, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
