@@ -29,8 +29,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of 85 percent common five-word shingles join, the one with the smallest id stays."""
-    return without_near_copies(docs, words=5, percent=85)  # the number that tests/llm/test_pipeline.py holds it to
+    """Of documents that links of 85 percent common five-word shingles join, the one with the smallest id stays.
+
+    Rows that share an id are judged each by its own text.
+    """
+    return without_near_copies(docs, words=5, percent=85, whole_ids=False)  # the number that tests/llm/test_pipeline.py holds it to
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

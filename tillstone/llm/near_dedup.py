@@ -97,11 +97,12 @@ def _signatures(id_col: str, text_col: str, words: int, coordinates: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(id_col),
+                    batch.column("_h"),
                     pa.array([xxhash.xxh3_128_digest(t) for t in normal], pa.binary()),
                     pa.array(n),
                     lists,
                 ],
-                names=["id", "cls", "n", "sig"],
+                names=["id", "h", "cls", "n", "sig"],
             )
 
     return run
@@ -185,8 +186,8 @@ class _Search:
         self.scratch = Scratch(self.spark, "near")
         kind = docs.schema[id_col].dataType.simpleString()
         self.rows = self.scratch.store(
-            docs.select(id_col, text_col).mapInArrow(
-                _signatures(id_col, text_col, words, coordinates), f"id {kind}, cls binary, n long, sig array<int>"
+            docs.select(id_col, text_col, F.xxhash64(text_col).alias("_h")).mapInArrow(
+                _signatures(id_col, text_col, words, coordinates), f"id {kind}, h long, cls binary, n long, sig array<int>"
             ),
             "rows",
         )
@@ -336,26 +337,8 @@ class _Search:
         return links
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = 5,
-    percent: int = 85,
-    coordinates: int = 32,
-    agree: int | None = None,
-    small: int = 500_000,
-) -> DataFrame:
-    """One row per row of docs: id, ``n_shingles``, ``component_id``, ``kept``.
-
-    Two documents are linked when 100 times the common part of their shingle sets is at least ``percent`` times
-    the union; ``component_id`` is the smallest id reachable. A pair must agree in ``agree`` coordinates, by default
-    so many that one at the threshold is missed with a probability of at most 2e-6 and more alike ones with less:
-    of 32 it is 16 at 85 percent (6e-7) and 14 at 80 (1.2e-6). Below 35 percent one of 32 is too much to ask for
-    that; take more coordinates there. ``small`` bounds the rows that are broadcast. A text of fewer than ``words`` words is one shingle; an empty or null text, or a null id, is
-    linked with nothing and kept. Rows that share an id are one document with several texts. An empty table
-    gives no rows and other columns are not read. Needs about 60 bytes of memory per byte of the longest text.
-    """
+def _labelled(docs, id_col, text_col, words, percent, coordinates, agree, small) -> DataFrame:
+    """(id, h, n, component, kept) of each row of docs, h the hash of its text; see near_duplicates."""
     agree = agreeing(percent, coordinates) if agree is None else agree
     search = _Search(docs, id_col, text_col, words, percent, coordinates, agree, small)
     links = search.confirm(search.star(search.postings.withColumn("top", F.col("n"))), "star")
@@ -376,13 +359,38 @@ def near_duplicates(
         .unionByName(classes.filter("label IS NULL").select("cls", F.col("first").alias("component"))),
         "named",
     )
-    alone = search.rows.filter("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component"))
-    others = search.rows.filter("n > 0 AND id IS NOT NULL").join(named, "cls").select("id", "n", "component")
-    return others.unionByName(alone).select(
+    alone = search.rows.filter("n = 0 OR id IS NULL").select("id", "h", "n", F.col("id").alias("component"))
+    others = search.rows.filter("n > 0 AND id IS NOT NULL").join(named, "cls").select("id", "h", "n", "component")
+    return others.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component")))
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    percent: int = 85,
+    coordinates: int = 32,
+    agree: int | None = None,
+    small: int = 500_000,
+) -> DataFrame:
+    """One row per row of docs: id, ``n_shingles``, ``component_id``, ``kept``.
+
+    Two documents are linked when 100 times the common part of their shingle sets is at least ``percent`` times
+    the union; ``component_id`` is the smallest id reachable. A pair must agree in ``agree`` coordinates, by default
+    so many that one at the threshold is missed with a probability of at most 2e-6 and more alike ones with less:
+    of 32 it is 16 at 85 percent (6e-7) and 14 at 80 (1.2e-6). Below 35 percent one of 32 is too much to ask for
+    that; take more coordinates there. ``small`` bounds the rows that are broadcast. A text of fewer than ``words``
+    words is one shingle; an empty or null text, or a null id, is linked with nothing and kept. Rows that share an
+    id are one document with several texts. An empty table gives no rows and other columns are not read. Needs
+    about 60 bytes of memory per byte of the longest text.
+    """
+    rows = _labelled(docs, id_col, text_col, words, percent, coordinates, agree, small)
+    return rows.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
-        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+        "kept",
     )
 
 
@@ -393,8 +401,16 @@ def without_near_copies(
     words: int = 5,
     percent: int = 80,
     small: int = 500_000,
+    whole_ids: bool = True,
 ) -> DataFrame:
-    """The rows of docs whose id is the smallest of its component; rows with a null id stay."""
-    out = near_duplicates(docs, id_col, text_col, words, percent, small=small).filter("NOT kept").select(id_col).distinct()
+    """The rows of docs whose id is the smallest of its component; rows with a null id stay.
+
+    Rows that share an id fall together, or each by its own text where ``whole_ids`` is false.
+    """
+    names = ["_id"] if whole_ids else ["_id", "_h"]
+    rows = _labelled(docs, id_col, text_col, words, percent, 32, None, small)
+    out = rows.filter("NOT kept").select(F.col("id").alias("_id"), F.col("h").alias("_h")).select(*names).distinct()
     dropped = Scratch(docs.sparkSession, "near").store(out, "dropped")
-    return docs.join(broadcast_if_small(dropped, small), id_col, "left_anti").select(*docs.columns)
+    keyed = docs.withColumn("_id", F.col(id_col))
+    keyed = keyed if whole_ids else keyed.withColumn("_h", F.xxhash64(text_col))
+    return keyed.join(broadcast_if_small(dropped, small), names, "left_anti").select(*docs.columns)
