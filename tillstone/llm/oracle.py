@@ -8,6 +8,49 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(quoted(x) for x in row) + ")" for row in rows)
 
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+        list_transform(string_split({text}, ''), lambda c: ascii(c)::bigint)),
+        lambda acc, b: list_reduce(list_prepend(xor(acc, b), range(8)),
+            lambda x, i: xor(x // 2, (x % 2) * 3988292384))))"""
+
+
+def _least(options: str) -> str:
+    return f"list_sort(list_filter([{options}], lambda o: o is not null))[1]"
+
+
+def _put(letter: str, cost: str, line: str, then: str) -> str:
+    """A candidate repair: cost, letters, lines of what is left."""
+    lines = f"list_prepend({line}, {then}.r)" if line else f"{then}.r"
+    return f"{{'c': {then}.c + {cost}, 'a': '{letter}' || {then}.a, 'r': {lines}}}"
+
+
+def _row(state: int) -> str:
+    """The repairs from a state that begin with the row itself; 0 start, 1 after system, 2 after user, 3 after assistant."""
+    then, role = ("g3", "assistant") if state == 2 else ("g2", "user")
+    own = "role || ':' || text"
+    kept = f"when i = '{role[0]}' then {_put('K', 'cut', own, then)}"
+    if state == 0:
+        kept += f" when i = 's' then {_put('K', 'cut', own, 'g1')}"
+    return _least(
+        f"{_put('D', '2', '', f'g{state}')}, case when must then null {kept} end, "
+        f"case when not must then {_put('R', '1 + cut', f"'{role}:'", then).replace(f"'{role}:'", f"'{role}:' || text")} end"
+    )
+
+
+def _inserted(state: int) -> str:
+    first, second = (3, 2) if state == 2 else (2, 3)
+    role = ["user:", "assistant:"]
+    if state == 2:
+        role.reverse()
+    one = _put("I", "5", f"'{role[0]}'", f"b{first}")
+    two = f"{{'c': b{second}.c + 10, 'a': 'II' || b{second}.a, 'r': list_prepend('{role[0]}', list_prepend('{role[1]}', b{second}.r))}}"
+    return _least(f"b{state}, {one}, {two}")
+
+
+_SPACES = r"\x20\x09-\x0D"
+
 ORACLE = {
     "op1_patricia_owners": r"""
         with n as (
@@ -101,4 +144,79 @@ ORACLE = {
         from found f
         where not exists (select 1 from found g where g.doc_id = f.doc_id and g.a <= f.a
                           and g.a + g.n >= f.a + f.n and g.n > f.n)""",
+    "op11_block_tables": rf"""
+        with recursive h as (
+            select *, {_crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as k
+            from conversations
+        ), d as (
+            select conv_id, turn, case when k = 4 then 'user' else coalesce(role, ' ') end as role,
+                   case when k = 1 then '' when k = 2 then translate(coalesce(text, ' '), '.!?', '')
+                        else coalesce(text, ' ') end as text,
+                   unnest(case when k = 3 then [1, 2] else [1] end) as copy
+            from h where k != 0
+        ), n as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as p from d
+        ), f as (
+            select *, substr(role, 1, 1) as i, lag(substr(role, 1, 1)) over (partition by conv_id order by p) as j,
+                   case when not regexp_matches(text, '[^{_SPACES}]') then 'b'
+                        when row_number() over (partition by conv_id, role, text order by p) > 1 then 'd'
+                        when not regexp_matches(text, '[.!?][{_SPACES}]*$') then 't' else '' end as fault
+            from n
+        ), told as (
+            select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+                   count(*) filter (where fault = 'b') as blank, count(*) filter (where fault = 'd') as duplicate,
+                   count(*) filter (where fault = 't') as truncated,
+                   count(*) filter (where j || i not in ('su', 'ua', 'au')) as illegal, max(p) as last
+            from f group by conv_id
+        ), g as (
+            select conv_id, last as p, {{'c': 0::bigint, 'a': '', 'r': []::varchar[]}} as g0,
+                   {{'c': 10::bigint, 'a': 'II', 'r': ['user:', 'assistant:']}} as g1,
+                   {{'c': 5::bigint, 'a': 'I', 'r': ['assistant:']}} as g2,
+                   {{'c': 0::bigint, 'a': '', 'r': []::varchar[]}} as g3
+            from told
+            union all
+            select conv_id, p - 1, {_inserted(0)}, {_inserted(1)}, {_inserted(2)}, {_inserted(3)}
+            from (
+                select conv_id, p, {_row(0)} as b0, {_row(1)} as b1, {_row(2)} as b2, {_row(3)} as b3
+                from (
+                    select g.conv_id, g.p, g0, g1, g2, g3, role, text, i, fault in ('b', 'd') as must,
+                           case when fault = 't' then 5 else 0 end as cut
+                    from g join f on f.conv_id is not distinct from g.conv_id and f.p = g.p
+                )
+            )
+        )
+        select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+               coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(g0.c, 0)::bigint as cost,
+               coalesce(g0.a, '') as audit, sha256(coalesce(array_to_string(g0.r, chr(10)), '')) as repaired_sha256
+        from (select distinct conv_id from conversations) o
+        left join told t on t.conv_id is not distinct from o.conv_id
+        left join g on g.conv_id is not distinct from o.conv_id and g.p = 0""",
+    "op12_sequence_collapse": rf"""
+        with t as (
+            select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as p,
+                   {{'r': coalesce(role, ''), 't': coalesce(text, '')}} as said
+            from conversations where conv_id is not null
+        ), own as (
+            select conv_id, list(said order by p) as turns, {_crc32("conv_id::varchar")} % 4 as h from t group by conv_id
+        ), rebuilt as (
+            select c.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, c.h), list_slice(c.turns, c.h + 1, len(c.turns))) as turns
+            from own c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+        ), prefixes as (
+            select conv_id, unnest(range(0, len(turns) + 1)) as depth, turns from rebuilt
+        ), nodes as (
+            select list_slice(turns, 1, depth) as seq, depth, min(conv_id) as conv_id, count(*) as n_convs,
+                   sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where len(turns) = depth), '')) as ends_sha256
+            from prefixes group by 1, 2
+        ), children as (
+            select list_slice(seq, 1, depth - 1) as seq, count(*) as n_children from nodes where depth > 0 group by 1
+        ), below as (
+            select list_slice(n.seq, 1, a) as seq, count(*) filter (where c.seq is null) as n_leaves,
+                   sum((n_convs - 1) * case when depth = 0 then 0 else
+                       len(regexp_extract_all(n.seq[depth].t, '[^{_SPACES}]+')) end) as saved_tokens
+            from (select *, unnest(range(0, depth + 1)) as a from nodes) n left join children c on c.seq = n.seq group by 1
+        )
+        select n.conv_id, n.depth, q.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+               saved_tokens::bigint as saved_tokens, n.ends_sha256
+        from nodes n join below on below.seq = n.seq left join children on children.seq = n.seq
+        left join nodes q on n.depth > 0 and q.depth = n.depth - 1 and q.seq = list_slice(n.seq, 1, n.depth - 1)""",
 }

@@ -14,8 +14,11 @@ from tillstone.llm.exact_dedup import patricia_dedup
 from tillstone.llm.licenses import licences
 from tillstone.llm.near_dedup import near_duplicates
 from tillstone.llm.packing import pack, token_pieces
+from tillstone.llm.prefix_trie import PrefixTrie, branched, digested
+from tillstone.llm.repair import damaged, repaired_conversations
 from tillstone.llm.repeats import repeated_bytes
 from tillstone.llm.secrets import secrets, written
+from tillstone.llm.simhash import simhash_classes
 
 
 def op1_patricia_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +110,23 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+def op11_block_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _conversations(spark, sf_dir)
+    return repaired_conversations(conversations, damaged(conversations))
+
+
+def op12_sequence_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PrefixTrie(branched(digested(_conversations(spark, sf_dir)))).nodes()
+
+
+def op13_segment_popcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_patricia_owners, op2_additive_model, op4_gated_windows, op3_positional_index, op5_randomness_battery, op6_sentence_rules, op7_coordinate_join, op8_span_field, op9_sampled_suffixes, op10_residual_packing)
+    f.__name__: f for f in (op1_patricia_owners, op2_additive_model, op4_gated_windows, op3_positional_index, op5_randomness_battery, op6_sentence_rules, op7_coordinate_join, op8_span_field, op9_sampled_suffixes, op10_residual_packing, op11_block_tables, op12_sequence_collapse, op13_segment_popcounts)
 }
