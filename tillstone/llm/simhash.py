@@ -11,9 +11,13 @@ one step away; two places at most two steps apart have such a cell in common.
 Pairs that meet are verified on their exact bits inside the join, which puts
 out links alone.
 
-Equal fingerprints are one vertex, so copies are never compared. Cells that too
-many fingerprints share are dealt to blocks, every pair of which is joined by
-itself: no task gets more than two blocks, and no pair is left out.
+Equal fingerprints are one vertex, so copies are never compared. Near copies are
+first linked to pivots: of all fingerprints with one place in a part, or in half
+of one, the one with the most neighbours of that kind is held against the
+others. What pivots join need not be joined again, so the grid join only puts
+out links between fingerprints of different groups. Cells that too many
+fingerprints share are dealt to blocks, every pair of which is joined by itself:
+no task gets more than two blocks, and no pair is left out.
 """
 
 from __future__ import annotations
@@ -99,6 +103,30 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _masks(count: int) -> list[int]:
+    """The 32 dimensions dealt to so many parts, each as a mask of the embedding."""
+    ranges = [range(SEGMENTS * k // count, SEGMENTS * (k + 1) // count) for k in range(count)]
+    return [sum(3 << 2 * i for i in dims) for dims in ranges]
+
+
+def star_links(prints: DataFrame, distance: int) -> DataFrame:
+    """(a, b): a pivot and a fingerprint within distance bits of it, for each place in a part and in half a part.
+
+    The pivot is the fingerprint whose own places are the most crowded: among near copies it is near most of them.
+    Linear in the number of fingerprints however many share a place.
+    """
+    count = distance // 3 + 1
+    masks = F.array(*[F.struct(F.lit(k).alias("part"), F.lit(_signed(m)).alias("mask")) for k, m in enumerate(_masks(count) + _masks(2 * count))])
+    placed = prints.select("fp", embedded(F.col("fp")).alias("p"), F.explode(masks).alias("m"))
+    placed = placed.select("fp", F.col("m.part").alias("part"), F.col("p").bitwiseAND(F.col("m.mask")).alias("own"))
+    crowds = placed.groupBy("part", "own").agg(F.count(F.lit(1)).alias("n"))
+    weights = placed.join(crowds, ["part", "own"]).groupBy("fp").agg(F.sum("n").alias("weight"))
+    heaviest = F.max(F.struct("weight", F.xxhash64("fp"), "fp"))["fp"]
+    pivots = placed.join(weights, "fp").groupBy("part", "own").agg(heaviest.alias("pivot"))
+    near = (F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= distance)
+    return placed.join(pivots, ["part", "own"]).filter(near).select(F.col("pivot").alias("a"), F.col("fp").alias("b")).distinct()
+
+
 def _steps(distance: int):
     """An array literal of all moves by at most one step: the part's mask, the bits flipped and when that is a step.
 
@@ -108,9 +136,8 @@ def _steps(distance: int):
     count = distance // 3 + 1
     radius = -(-(distance // count) // 2)  # both sides move by it, together by at least distance // count
     moves = []
-    for part in range(count):
-        dims = range(SEGMENTS * part // count, SEGMENTS * (part + 1) // count)
-        mask = sum(3 << 2 * i for i in dims)
+    for part, mask in enumerate(_masks(count)):
+        dims = [i for i in range(SEGMENTS) if mask >> 2 * i & 3]
         options = [(0, 0, True)]
         if radius:
             options += [x for i in dims for x in ((1 << 2 * i, 2 << 2 * i, True), (3 << 2 * i, 3 << 2 * i, False))]
@@ -136,11 +163,11 @@ def embedded(fp):
 
 
 def _cells(prints: DataFrame, distance: int) -> DataFrame:
-    """(part, cell, own, fp): the cells within one step of each fingerprint's own, in every part."""
-    moved = prints.select("fp", embedded(F.col("fp")).alias("p"), F.explode(_steps(distance)).alias("m"))
+    """(part, cell, own, fp, label): the cells within one step of each fingerprint's own, in every part."""
+    moved = prints.select("fp", "label", embedded(F.col("fp")).alias("p"), F.explode(_steps(distance)).alias("m"))
     moved = moved.filter((F.col("p").bitwiseAND(F.col("m.look")) == 0) == F.col("m.clear"))
     own = F.col("p").bitwiseAND(F.col("m.mask"))
-    return moved.select(F.col("m.part").alias("part"), own.bitwiseXOR(F.col("m.flip")).alias("cell"), own.alias("own"), "fp")
+    return moved.select(F.col("m.part").alias("part"), own.bitwiseXOR(F.col("m.flip")).alias("cell"), own.alias("own"), "fp", "label")
 
 
 def _pairs(cells: DataFrame, keys: list[str], distance: int, more=None) -> DataFrame:
@@ -149,26 +176,28 @@ def _pairs(cells: DataFrame, keys: list[str], distance: int, more=None) -> DataF
     # places that are equal meet in all their cells; only the own one counts
     once = (F.col("a.own") != F.col("b.own")) | (F.col("a.cell") == F.col("a.own"))
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    on = (F.col("a.fp") < F.col("b.fp")) & near & once
+    on = (F.col("a.fp") < F.col("b.fp")) & (F.col("a.label") != F.col("b.label")) & near & once
     for term in same:
         on = on & term
-    return a.join(b, on if more is None else on & more).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    joined = a.join(b, on if more is None else on & more)
+    return joined.select(F.least("a.label", "b.label").alias("a"), F.greatest("a.label", "b.label").alias("b")).distinct()
 
 
 def links(prints: DataFrame, distance: int, scratch: Scratch, most: int = 5000, small: int = 1_000_000) -> DataFrame:
-    """(a, b): all pairs a < b of distinct fingerprints (a table with a column fp) that differ in 1 to distance bits.
+    """(a, b): all pairs a < b of labels of distinct fingerprints (fp, label) that differ in 1 to distance bits.
 
+    Without a column label each fingerprint is its own label, and these are all links.
     ``most`` is the number of fingerprints of one cell that a task compares with each other. A cell has at most as
     many as the places within a step of it, 33 at most in a part, so only cells beside a place with over most / 33
     can have more; these are dealt to blocks.
     """
     if not 0 <= distance <= 8:
         raise ValueError(f"distance {distance} is not in 0 to 8")
-    cells = _cells(prints, distance)
+    cells = _cells(prints if "label" in prints.columns else prints.withColumn("label", F.col("fp")), distance)
     full = cells.filter(F.col("cell") == F.col("own")).groupBy("part", "own").agg(F.count(F.lit(1)).alias("n"))
     full = scratch.store(full.filter(F.col("n") > max(1, most // 33)), "full")
     if full.limit(1).count() == 0:
-        return _pairs(cells, ["part", "cell"], distance).distinct()
+        return _pairs(cells, ["part", "cell"], distance)
     # a place of a part is embedded already: move it as _cells does, and bound what its cells hold
     moved = full.select("part", "own", "n", F.explode(_steps(distance)).alias("m")).filter(F.col("m.part") == F.col("part"))
     moved = moved.filter((F.col("own").bitwiseAND(F.col("m.look")) == 0) == F.col("m.clear"))
@@ -179,15 +208,15 @@ def links(prints: DataFrame, distance: int, scratch: Scratch, most: int = 5000,
     )
     hot = broadcast_if_small(scratch.store(hot, "hot"), small)
     dealt = cells.join(hot, ["part", "cell"], "left")
-    dealt = dealt.select("part", "cell", "own", "fp", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    dealt = dealt.select("part", "cell", "own", "fp", "label", F.coalesce("blocks", F.lit(1)).alias("blocks"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "part", "cell", "own", "fp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+        "part", "cell", "own", "fp", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     # rows of one block meet in the key of that block with itself alone
     apart = (F.col("a.block") != F.col("b.block")) | (F.col("a.i") == F.col("a.j"))
-    return _pairs(dealt, ["part", "cell", "i", "j"], distance, apart).distinct()
+    return _pairs(dealt, ["part", "cell", "i", "j"], distance, apart)
 
 
 def simhash_classes(
@@ -208,9 +237,13 @@ def simhash_classes(
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.store(fingerprints(docs, words, id_col, text_col), "prints")
     firsts = scratch.store(prints.groupBy("fp").agg(F.min("id").alias("first")), "firsts")
-    pairs = scratch.store(links(firsts.select("fp"), distance, scratch, most), "links")
-    labels = components(pairs, scratch, "components").select(F.col("v").alias("fp"), "label")
-    grouped = firsts.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    stars = scratch.store(star_links(firsts.select("fp"), distance), "stars")
+    joined = components(stars, scratch, "groups").select(F.col("v").alias("fp"), "label")
+    joined = firsts.join(joined, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    joined = scratch.store(joined, "joined")
+    pairs = scratch.store(links(joined.select("fp", "label"), distance, scratch, most), "links")
+    merged = components(pairs, scratch, "components").select(F.col("v").alias("label"), F.col("label").alias("whole"))
+    grouped = joined.join(merged, "label", "left").select("fp", "first", F.coalesce("whole", "label").alias("label"))
     least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
     whole = grouped.join(least, "label").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
