@@ -24,8 +24,10 @@ _LABELS_DDL = "label string, rows bigint, label_index double, source string"
 
 
 def recast_measures(df: DataFrame) -> DataFrame:
-    """Make sure the label is an int and the price a double before training."""
-    return df.withColumns({"Quantity": F.col("Quantity").cast("int"), "UnitPrice": F.col("UnitPrice").cast("double")})
+    """Make sure the label is an int and the price a double before training; text that is neither becomes null."""
+    return df.withColumns(
+        {"Quantity": F.col("Quantity").try_cast("int"), "UnitPrice": F.col("UnitPrice").try_cast("double")}
+    )
 
 
 def read_labels(spark: SparkSession, path: str, column: str) -> DataFrame:

@@ -14,9 +14,9 @@ from tillstone.operators.gold import gold_by_country
 from tillstone.operators.guards import require_any_column, require_columns, warn_if_empty
 from tillstone.operators.training import TrainingOptions, evaluate, fit_forest, prepare
 from tillstone.plans.runs import RunLog, utc_now
-from tillstone.schema import GOLD_DDL, GOLD_INPUT_COLUMNS, SILVER_DDL, bronze_ddl
+from tillstone.schema import GOLD_DDL, GOLD_INPUT_COLUMNS, REJECT_COLUMN, SILVER_DDL, bronze_ddl
 from tillstone.sources.csv_files import read_retail_csv, with_audit
-from tillstone.sources.layers import LayerStore
+from tillstone.sources.layers import LayerStore, clustered
 from tillstone.sources.paths import remove, scratch_dir
 
 log = logging.getLogger(__name__)
@@ -33,6 +33,7 @@ class FlowConfig:
     price_type: str = "float"
     id_type: str = "float"
     reject_nan_price: bool = False
+    keep_rejects: bool = False
     approx_distinct: bool = False
     partition_gold: bool = True
     ingested_at: datetime | None = None
@@ -57,6 +58,7 @@ def ingest(store: LayerStore, cfg: FlowConfig) -> dict[str, int]:
         strict_header=cfg.strict_header,
         price_type=cfg.price_type,
         id_type=cfg.id_type,
+        keep_rejects=cfg.keep_rejects,
     )
     funnel = Observation("cleaning_funnel")
     audited = with_audit(raw, cfg.ingested_at)
@@ -70,6 +72,16 @@ def read_bronze(store: LayerStore, cfg: FlowConfig) -> DataFrame:
     return store.read(BRONZE, bronze_ddl(cfg.price_type, cfg.id_type), missing="drop", stored_types=True)
 
 
+def read_rejects(store: LayerStore, cfg: FlowConfig) -> DataFrame:
+    """Bronze rows with the line that did not parse, for an ingest that keeps rejects.
+
+    The lines are a column of bronze, so the raw files are parsed and written once; the null test skips all row
+    groups without a reject.
+    """
+    ddl = f"{bronze_ddl(cfg.price_type, cfg.id_type)}, {REJECT_COLUMN} string"
+    return store.read(BRONZE, ddl, stored_types=True).where(F.col(REJECT_COLUMN).isNotNull())
+
+
 def read_silver(store: LayerStore) -> DataFrame:
     """The declared columns that silver has; what reads it checks for those that it needs."""
     return store.read(SILVER, SILVER_DDL, missing="drop")
@@ -96,13 +108,13 @@ def build_silver(store: LayerStore, cfg: FlowConfig) -> int:
 
 
 def build_gold(store: LayerStore, cfg: FlowConfig) -> int:
-    """Aggregate stored silver, then lay the result out by revenue; returns the rows written."""
+    """Aggregate stored silver and write the result laid out by revenue, once; returns the rows written."""
     silver = read_silver(store)
     require_columns(silver, GOLD_INPUT_COLUMNS, GOLD)
     split = ("Country",) if cfg.partition_gold else ()
-    rows, counted = _counted(gold_by_country(silver, approx=cfg.approx_distinct), GOLD)
+    placed = clustered(gold_by_country(silver, approx=cfg.approx_distinct), ("TotalRevenue",), split)
+    rows, counted = _counted(placed, GOLD)  # above the sampling of ranges, which reads rows too
     store.overwrite(GOLD, rows, partition_by=split)
-    store.cluster(GOLD, GOLD_DDL, ("TotalRevenue",), partition_by=split)
     log.info("gold has %s rows", counted.get["rows"])
     return counted.get["rows"]
 
@@ -116,7 +128,7 @@ def train(store: LayerStore, cfg: FlowConfig) -> str:
     """
     runs = RunLog(store)
     options = cfg.training
-    run = {"started_at": utc_now(), "params": {**options.params(), "handle_invalid": options.handle_invalid}}
+    run = {"started_at": utc_now(), "params": options.all_params()}
     rows_path = scratch_dir(store.spark, "training")
     try:
         stored = {layer: store.stored_schema(layer) for layer in (BRONZE, SILVER, GOLD) if store.has(layer)}

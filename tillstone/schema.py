@@ -14,6 +14,7 @@ RAW_COLUMNS = (
     "Country",
 )
 AUDIT_COLUMN = "ingestion_timestamp"
+REJECT_COLUMN = "rejected_line"
 TRIMMED_COLUMNS = ("InvoiceNo", "StockCode", "Description", "Country")
 SILVER_COLUMNS = (
     "InvoiceNo",

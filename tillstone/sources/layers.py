@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillstone.operators.guards import MissingColumnsError
@@ -127,9 +129,72 @@ class LayerStore:
         Does nothing when none of ``by`` exists.
         """
         df = self.read(layer, schema)
-        ranges = [c for c in by if c in df.columns]
-        if not ranges:
+        if not any(c in df.columns for c in by):
             return None
-        keys = [*(c for c in partition_by if c in df.columns), *ranges]
-        placed = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-        return self.overwrite(layer, placed.sortWithinPartitions(*keys), partition_by=partition_by)
+        return self.overwrite(layer, clustered(df, by, partition_by, files), partition_by=partition_by)
+
+    def _rows_with_files(self, layer: str, schema: str | StructType) -> DataFrame:
+        named = {"file": F.col("_metadata.file_path"), "bytes": F.col("_metadata.file_size")}
+        return self.read(layer, schema).select("*", *[c.alias(name) for name, c in named.items()])
+
+    def file_ranges(self, layer: str, schema: str | StructType, columns: Sequence[str]) -> DataFrame:
+        """(file, rows, bytes) and ``least_c``, ``most_c`` for each of the columns, for every file that has rows."""
+        named = self._rows_with_files(layer, schema)
+        ends = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("least", F.min), ("most", F.max))]
+        return named.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.first("bytes").alias("bytes"), *ends)
+
+    def placement(self, layer: str, schema: str | StructType, column: str) -> DataFrame:
+        """(column, rows, files, bytes): how many files hold a value's rows, and how large these files are together.
+
+        Rows are counted per value and file before they are shuffled, so a value with most of the rows costs no more.
+        """
+        per_file = self._rows_with_files(layer, schema).groupBy(column, "file").agg(F.count(F.lit(1)).alias("rows"), F.first("bytes").alias("bytes"))
+        return per_file.groupBy(column).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+
+    def index_files(self, layer: str, schema: str | StructType, columns: Sequence[str]) -> None:
+        """Store the file ranges of the current version beside its files, where a scan of the layer does not see them."""
+        ranges = self.file_ranges(layer, schema, columns)
+        ranges.coalesce(1).write.mode("overwrite").parquet(f"{self.current_path(layer)}/_ranges")
+
+    def files_within(self, layer: str, column: str, low, high) -> DataFrame:
+        """The indexed files of the current version that may hold values from ``low`` to ``high``, both included."""
+        ranges = self.spark.read.parquet(f"{self.current_path(layer)}/_ranges")
+        return ranges.where((F.col(f"most_{column}") >= low) & (F.col(f"least_{column}") <= high))
+
+    def read_within(self, layer: str, schema: str | StructType, column: str, low, high) -> DataFrame:
+        """The layer's rows from ``low`` to ``high``, opening only the files whose range the index says may hold them.
+
+        A plain filtered scan lists every file and reads its footer to skip it; here the others are not touched. Only
+        the names of the files to open reach the driver, which plans a scan from such a list in any case.
+        """
+        declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        wanted = [unquote(r["file"]) for r in self.files_within(layer, column, low, high).select("file").collect()]
+        if not wanted:
+            return self.spark.createDataFrame([], declared)
+        reader = self.spark.read.schema(declared).option("basePath", self.current_path(layer)).format(self.fmt)
+        rows = reader.load(wanted).select(*declared.names)
+        return rows.where(F.col(column).between(low, high))
+
+
+def clustered(df: DataFrame, by: Sequence[str], partition_by: Sequence[str] = (), files: int | None = None) -> DataFrame:
+    """Rows dealt to narrow ranges of ``by`` (within ``partition_by``) and sorted, for a write that needs no rewrite.
+
+    Columns that ``df`` lacks are ignored; without any of ``by`` the rows stay as they are.
+    """
+    ranges = [c for c in by if c in df.columns]
+    if not ranges:
+        return df
+    keys = [*(c for c in partition_by if c in df.columns), *ranges]
+    placed = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    return placed.sortWithinPartitions(*keys)
+
+
+def overlapping(ranges: DataFrame, column: str) -> DataFrame:
+    """The files of ``file_ranges`` whose range of ``column`` begins before all files that begin earlier have ended.
+
+    The window sees one row per file, not the rows of the files.
+    """
+    order = Window.orderBy(f"least_{column}", f"most_{column}", "file")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.max(f"most_{column}").over(earlier)
+    return ranges.withColumn("_ended", ended).where(F.col(f"least_{column}") <= F.col("_ended")).drop("_ended")
