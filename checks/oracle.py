@@ -82,6 +82,8 @@ _RAW_WIDE = (
     "cast(CustomerID as double) as CustomerID, Country"
 )
 _RAW = _RAW_WIDE.format(date="InvoiceDate, ")
+_INGESTED = "'2024-01-01 00:00:00' as ingested_at"
+_QUOTED = """'"' || replace(Description, ' ', '" "') || '", new' as Description"""
 _LINE = "InvoiceNo, l_linenumber, StockCode"
 
 
@@ -123,6 +125,50 @@ logged as (
 )
 select 'check' as experiment, 'FINISHED' as status, kind, name, value from logged"""
 
+_SPLIT = _hash("concat_ws('|', InvoiceNo, l_linenumber, StockCode)", 100)
+_RUN_SPLIT = _hash("concat_ws('|', InvoiceNo, StockCode)", 100)
+
+_REJECTS = f"""with {_BRONZE},
+written as (
+  select InvoiceNo, StockCode,
+         case when cast(InvoiceNo as bigint) % 7 = 0 and l_linenumber = 1 then 'x' else '' end || Quantity as q,
+         case when cast(InvoiceNo as bigint) % 11 = 0 and l_linenumber = 2 then 'n/a' else cast(UnitPrice as varchar) end as p,
+         case when cast(InvoiceNo as bigint) % 13 = 0 and l_linenumber = 3 then '12.5.1' else cast(CustomerID as varchar) end as c
+  from bronze
+),
+parsed as (
+  select *, try_cast(q as int) as Quantity, try_cast(p as real) as UnitPrice, try_cast(c as real) as CustomerID from written
+)
+select InvoiceNo, StockCode, Quantity, cast(UnitPrice as double) as UnitPrice, cast(CustomerID as double) as CustomerID,
+       (q is not null and Quantity is null) or (p is not null and UnitPrice is null)
+         or (c is not null and CustomerID is null) as rejected
+from parsed"""
+
+_REVENUE = f"""{_SILVER},
+lines as (select Quantity * UnitPrice as Revenue from silver)"""
+
+_TRAINING_RUN = f"""with {_SILVER},
+sides as (select {_RUN_SPLIT} < 80 as is_train from silver)
+select 'FINISHED' as status, kind, name, value from (
+  values ('param', 'n_estimators', '3'), ('param', 'max_depth', '4'),
+         ('param', 'features', '[''CustomerID'', ''UnitPrice'', ''CountryIndex'', ''StockCodeIndex'']'),
+         ('param', 'seed', '42'), ('param', 'train_percent', '80'), ('param', 'split', 'hash'),
+         ('param', 'split_keys', 'InvoiceNo,StockCode'), ('param', 'fit_on', 'all'), ('param', 'handle_invalid', 'error'),
+         ('param', 'max_memory_mb', '256'), ('param', 'cache_node_ids', 'True'), ('param', 'bootstrap', 'True'),
+         ('metric', 'rmse', 'positive'), ('metric', 'r2', 'at most 1'),
+         ('schema', 'silver', 'stored'), ('model', 'quantity_forest', '1')
+) fixed(kind, name, value)
+union all select 'FINISHED', 'rows', 'silver', cast(count(*) as varchar) from sides
+union all select 'FINISHED', 'rows', 'train', cast(count(*) filter (where is_train) as varchar) from sides
+union all select 'FINISHED', 'rows', 'test', cast(count(*) filter (where not is_train) as varchar) from sides"""
+
+_GUARDS = f"""with {_SILVER}
+select 'no columns' as guard, 'ValueError' as outcome, count(*) as rows from bronze
+union all select 'empty bronze', '0 rows', 0
+union all select 'no silver column', 'ValueError', count(*) from bronze
+union all select 'no gold input', 'MissingColumnsError', count(*) from silver
+union all select 'empty silver', 'FAILED silver', 0"""
+
 ORACLE: dict[str, str] = {
     "gold_country": f"with {_GOLD} select * from gold",
     "gold_counts": f"with {_GOLD} select Country, TotalTransactions, TotalQuantitySold, TotalItemsSold from gold",
@@ -143,9 +189,9 @@ ORACLE: dict[str, str] = {
     "silver_clean": f"with {_SILVER} select * exclude (l_linenumber) from silver",
     "cleaning_funnel": f"with {_FUNNEL} select * from funnel",
     "bronze_csv_scan": f"with {_BRONZE} select {_RAW} from bronze",
-    "bronze_audit_column": f"with {_BRONZE} select {_LINE}, true as has_timestamp from bronze",
-    "bronze_roundtrip": f"with {_BRONZE} select {_RAW} from bronze",
-    "silver_roundtrip": f"with {_SILVER} select * exclude (l_linenumber) from silver",
+    "bronze_audit_column": f"with {_BRONZE} select {_LINE}, {_INGESTED}, true as live_time_is_one from bronze",
+    "bronze_roundtrip": f"with {_BRONZE} select {_RAW}, {_INGESTED} from bronze",
+    "silver_roundtrip": f"with {_SILVER} select * exclude (l_linenumber), {_INGESTED} from silver",
     "gold_roundtrip": f"with {_GOLD} select * from gold",
     "gold_clustered": f"with {_GOLD} select * from gold",
     "flow_gold": f"with {_GOLD} select * from gold",
@@ -161,4 +207,26 @@ ORACLE: dict[str, str] = {
     "eval_r2": f"with {_SCORES} select round(1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*)), 6) as r2 from scores",
     "run_log": _RUN_LOG,
     "synthetic_retail": _SYNTHETIC,
+    "csv_doubled_quotes": f"with {_BRONZE} select {_RAW.replace('Description', _QUOTED)} from bronze",
+    "bronze_rejects": _REJECTS,
+    "rejected_lines": f"with {_BRONZE} select InvoiceNo, true as no_quantity, InvoiceNo as field_0, 'thing' as field_2, "
+    "'many' as field_3 from bronze where cast(InvoiceNo as bigint) % 5 = 0",
+    "revenue_layout": f"with {_REVENUE} select count(*) as rows, round(min(Revenue), 2) as least, "
+    "round(max(Revenue), 2) as most, true as many_files, 0 as overlapping_files from lines",
+    "revenue_range_read": f"with {_REVENUE} select count(*) as rows, round(sum(Revenue), 2) as revenue, "
+    "true as opens_files_in_range, true as skips_files from lines where Revenue between 20000 and 30000",
+    "silver_placement": f"with {_SILVER} select Country, count(*) as rows, true as in_one_file from silver group by Country",
+    "gold_sketches": f"with {_GOLD} select Country, UniqueCustomers, UniqueProductsSold, TotalTransactions, "
+    "true as within_5_percent, true as merged_equals_at_once from gold",
+    "flow_counts": f"with {_FUNNEL} select funnel.*, silver_rows as stored_silver, "
+    "(select count(distinct Country) from bronze where Quantity > 0 and UnitPrice > 0 and CustomerID is not null) "
+    "as stored_gold from funnel",
+    "guards": _GUARDS,
+    "recast_text_measures": f"with {_BRONZE} select {_LINE}, "
+    "case when cast(InvoiceNo as bigint) % 3 = 0 then null else Quantity end as Quantity, "
+    "case when cast(InvoiceNo as bigint) % 4 = 0 then null else round(cast(UnitPrice as double), 2) end as UnitPrice from bronze",
+    "forest_walk": f"with {_SILVER} select {_LINE}, Quantity, true as walk_equals_model from silver where {_SPLIT} >= 80",
+    "forest_tree_means": f"with {_SILVER} select count(*) as train_rows, round(avg(Quantity), 6) as mean_quantity, "
+    f"true as leaves_equal_means, true as has_splits from silver where {_SPLIT} < 80",
+    "training_run": _TRAINING_RUN,
 }
