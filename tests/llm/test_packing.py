@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
@@ -7,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillstone.llm.packing import best_fit, pack, token_pieces
+from tillstone.llm.queries import QUERIES
 
 
 def expected_tokens(texts):
@@ -69,3 +72,30 @@ def test_odd_rows_and_empty(spark):
     out = pack(df, capacity=10).collect()
     assert len(out) == 5 and sum(r.sequence_id is None for r in out) == 3
     assert pack(df.filter("false"), capacity=10).count() == 0
+
+
+def test_long_runs_of_white_space_have_the_tokenizers_ids(spark):
+    n = 1_100_000
+    texts = ["a" + " " * n + "b", "\n" * n, "x " + "\t \n" * (n // 3) + " y", " " * 2_000_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = token_pieces(df).collect()
+    for doc, ids in enumerate(expected_tokens(texts)):
+        own = sorted((r for r in rows if r.doc_id == doc), key=lambda r: r.piece)
+        assert b"".join(bytes(r.ids) for r in own) == np.array(ids, "<u4").tobytes()
+
+
+def test_query_columns_follow_from_the_ids(spark):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
+    rows = QUERIES["op10_residual_packing"](spark, path).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append(r)
+    for doc, ids in zip(docs, expected_tokens([d.text for d in docs])):
+        data = np.array(ids, "<u4").tobytes()
+        own = sorted(by.pop(doc.doc_id), key=lambda r: r.piece)
+        assert [r.piece for r in own] == list(range(len(own))) and own[-1].start + own[-1].length == len(ids)
+        assert all(r.ids_crc32 == zlib.crc32(data[4 * r.start : 4 * (r.start + r.length)]) for r in own)
+        assert len(own) == -(-len(ids) // 1024)
+    assert not by
+    assert check(rows, 1024) <= 1.02 * sum(r.length for r in rows) / 1024 + 1

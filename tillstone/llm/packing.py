@@ -34,13 +34,27 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": 50256})
 
 
-def _pieces(path: str, pattern: str, capacity: int, id_col: str, text_col: str, end: int):
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _ids(text: str, path: str, pattern: str, plain: str) -> np.ndarray:
+    """Token ids of a text. A run of about a million white spaces is too deep for the fast encoder's pattern."""
+    try:
+        return _encoding(path, pattern).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.array(_tokenizer(plain).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+def _pieces(path: str, pattern: str, plain: str, capacity: int, id_col: str, text_col: str, end: int):
     def run(batches):
-        encoding = _encoding(path, pattern)
         for batch in parts(batches):
             owner, piece, start, length, ids = [], [], [], [], []
             for i, text in enumerate(batch.column(text_col).to_pylist()):
-                tokens = np.append(encoding.encode_to_numpy(text or "", allowed_special="all"), end).astype("<u4")
+                tokens = np.append(_ids(text or "", path, pattern, plain), end).astype("<u4")
                 n = len(tokens)
                 first = n if n <= capacity else n % capacity or capacity
                 cuts = [0, *range(first, n + 1, capacity)]
@@ -72,19 +86,23 @@ def token_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     end: int = END,
+    plain: str | None = None,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: id, piece, start, length, ids (little-endian unsigned 32-bit).
 
     A document is its token ids and then ``end``. Only longer documents are cut, and only the first piece may
-    then be shorter. Null text counts as empty and gives the end id alone.
+    then be shorter. Null text counts as empty and gives the end id alone. A text of any length is encoded whole;
+    one that ``vocabulary``'s encoder refuses, as it does runs of about a million white spaces, gets its ids from the
+    JSON form ``plain`` of the same vocabulary. Memory per task follows the longest text.
     """
     import public_tokenizers
 
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
+    plain = plain or public_tokenizers.path("byte_bpe_50k.json")
     schema = T.StructType([docs.select(id_col).schema[0], *T._parse_datatype_string(PIECES).fields])
     return docs.select(id_col, text_col).mapInArrow(
-        _pieces(path, pattern, capacity, id_col, text_col, end), schema
+        _pieces(path, pattern, plain, capacity, id_col, text_col, end), schema
     )
 
 
