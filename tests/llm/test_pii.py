@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import hashlib
 import itertools
 import re
+import tracemalloc
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tillstone.llm.pii import KINDS, SemiMarkov, _gold, base_spans, lattice, luhn, personal_data, pii_model, train
+from tillstone.llm.pii import KINDS, SemiMarkov, _covered, _gold, base_spans, lattice, luhn, personal_data, pii_model, train
+from tillstone.llm.queries import QUERIES
 
 SEEDS = [
     "mail bob.smith+x@mail.example.com now", "call +49 30 1234-5678 or", "ip 192.168.0.254 and", "card 4111 1111 1111 1111 x",
@@ -126,3 +129,52 @@ def test_trains_on_all_stretches_of_the_sample(spark, monkeypatch):
     rows += [(1, " and ".join(f"on {1234567 + i}" for i in range(30)) + " from 10.1.2.3"), (2, long)]
     pii_model(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {KINDS[k] for k in learned} == {"email", "ip", "card"}
+
+
+def _field():
+    rng = np.random.default_rng(2)
+    return train([" ".join(rng.choice(SEEDS, 3)) for _ in range(60)])
+
+
+FIELD = _field()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(SEEDS), st.text("0123456789+-. ()@ab.é_,", max_size=40)), max_size=8).map(" ".join))
+def test_the_ring_gives_the_best_segmentation_of_the_whole_lattice(text):
+    net = lattice(text, 0, len(text))
+    assert FIELD.decoded(text, 0, len(text)) == FIELD.best(net)
+
+
+def test_a_long_run_of_numbers_takes_little_memory():
+    rng = np.random.default_rng(4)
+    text = " ".join(map(str, rng.integers(0, 10**6, 9000)))
+    assert len(text) > 60_000
+    tracemalloc.start()
+    found = FIELD.spans(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3_000_000  # the lattice of the whole run takes about 1 KB a character
+    assert all(a[2] <= b[0] for a, b in zip(found, found[1:]))
+
+
+def test_covered_stretches_hold_every_span():
+    spans = [(5, 0, 9), (0, 1, 3), (3, 2, 4), (7, 3, 8), (20, 0, 21)]
+    assert _covered(spans) == ([0, 5, 20], [4, 9, 21])
+    assert _covered([]) == ([], [])
+
+
+def test_query_columns_follow_from_the_spans(spark):
+    path = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    got = QUERIES["op8_span_field"](spark, path).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        base = brute(texts[r.doc_id])
+        named = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base)
+        assert r.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[1] == k for b in base) for k in range(4)]
+        spans = r.spans.split(",") if r.spans else []
+        assert set(named.split(",") if named else []) <= set(spans)
+        places = [tuple(map(int, x.split(":")[1:])) for x in spans]
+        assert places == sorted(places) and all(0 <= a < b <= len(texts[r.doc_id]) for a, b in places)

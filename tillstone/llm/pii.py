@@ -12,8 +12,9 @@ look alike but that no pattern covers.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
-from collections import defaultdict
+from collections import defaultdict, deque
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -105,6 +106,22 @@ def span_features(text: str, start: int, end: int, before: str) -> tuple[str, ..
     return tuple(out)
 
 
+def _plain(piece: str) -> str:
+    """What a token shows by itself."""
+    return f"{_shape(piece)}{min(len(piece), 5) if piece.isdigit() else ''}"
+
+
+def _ending(text: str, recent: deque, end: int) -> list[tuple[float, tuple[str, ...], int]]:
+    """Segments that end with the last of the recent tokens, longest first: the value before, features, tokens."""
+    found, digits, at = [], 0, 0
+    for n, (place, piece, count, before, value) in enumerate(reversed(recent)):
+        digits += count
+        at += piece == "@"
+        if (at or digits >= 7 or (digits >= 4 and n >= 6)) and not (piece.isspace() or piece in ".,;:"):
+            found.append((value, span_features(text, place, end, before), n + 1))
+    return found[::-1]
+
+
 @dataclass
 class Lattice:
     """Possible segments of one stretch: (first token, last token + 1, features); and its token bounds."""
@@ -117,7 +134,7 @@ class Lattice:
 def lattice(text: str, start: int, end: int) -> Lattice:
     tokens = list(_TOKEN.finditer(text, start, end))
     bounds = [m.start() for m in tokens] + [end]
-    out = Lattice(bounds, [f"{_shape(m[0])}{min(len(m[0]), 5) if m[0].isdigit() else ''}" for m in tokens])
+    out = Lattice(bounds, [_plain(m[0]) for m in tokens])
     word = ""
     befores = []
     for m in tokens:
@@ -202,11 +219,44 @@ class SemiMarkov:
         found = []
         for m in _STRETCH.finditer(text):
             if "@" in m[0] or sum(c.isdigit() for c in m[0]) >= 4:
-                net = lattice(text, m.start(), m.end())
-                if net.segments:
-                    found += self.best(net)
+                found += self.decoded(text, m.start(), m.end())
         return found
 
+    def decoded(self, text: str, start: int, end: int) -> list[tuple[int, int, int]]:
+        """``best`` of a stretch's lattice without the lattice: only the last LONGEST tokens are held at a time.
+
+        What is kept of the others is their place and the way back, some twenty bytes a token.
+        """
+        bounds, origin, kinds = array("q"), array("b", [0]), array("b", [-1])
+        recent = deque(maxlen=LONGEST)  # place, piece, digits, word before, best value before it
+        value, word = 0.0, ""
+        for m in _TOKEN.finditer(text, start, end):
+            piece = m[0]
+            bounds.append(m.start())
+            recent.append((m.start(), piece, len(piece) if piece.isdigit() else 0, word, value))
+            if piece.isalpha():
+                word = piece.lower()[:12]
+            value += self.score(-1, (_plain(piece),))
+            kind, length = -1, 0
+            if piece.isalnum():
+                for at, features, n in _ending(text, recent, m.end()):
+                    for k in range(len(KINDS)):
+                        other = at + self.score(k, features)
+                        if other > value:
+                            value, kind, length = other, k, n
+            origin.append(length)
+            kinds.append(kind)
+        out, j = [], len(bounds)
+        bounds.append(end)
+        while j:
+            if kinds[j] < 0:
+                j -= 1
+            else:
+                i = j - origin[j]
+                out.append((bounds[i], kinds[j], bounds[j]))
+                j = i
+        return out[::-1]
+
 
 def _gold(net: Lattice, spans: list[tuple[int, int, int]]) -> set[tuple[int, int, int]]:
     """Pattern spans as segments of a lattice; where they overlap, the longest."""
@@ -279,12 +329,25 @@ def pii_model(
     return train([r.text for r in sorted(rows, key=lambda r: (r.h, r.text))], stretches)
 
 
+def _covered(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what the spans cover, in order and apart from each other."""
+    starts, ends = [], []
+    for s, _, e in sorted(spans):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def personal_data(docs: DataFrame, model: SemiMarkov, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id and ``spans``, an array of (start, kind, end, base) in code points.
 
     Spans of the fixed patterns have ``base`` true and all stay; the field's spans are added where they overlap
     none of these. Null text has no spans, null and repeated ids are kept row by row, an empty table gives no
-    rows, and other columns are not read.
+    rows, and other columns are not read. A text of any length is scored whole; beside the text itself some twenty
+    bytes for each token of its longest stretch are held.
     """
     weights = dict(model.w)
     kind = docs.schema[id_col].dataType
@@ -297,9 +360,10 @@ def personal_data(docs: DataFrame, model: SemiMarkov, id_col: str = "doc_id", te
                 text = text or ""
                 base = base_spans(text)
                 spans = [{"start": s, "kind": k, "end": e, "base": True} for s, k, e in base]
-                held = sorted((s, e) for s, _, e in base)
+                starts, ends = _covered(base)
                 for s, k, e in field_.spans(text):
-                    if not any(a < e and s < b for a, b in held):
+                    i = bisect_left(starts, e)  # of the stretches that begin before e the last one ends last
+                    if not i or ends[i - 1] <= s:
                         spans.append({"start": s, "kind": k, "end": e, "base": False})
                 out.append(sorted(spans, key=lambda x: (x["start"], x["kind"], x["end"])))
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(out, arrow)], names=[id_col, "spans"])
