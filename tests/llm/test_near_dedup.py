@@ -110,3 +110,13 @@ def test_components_of_a_long_path(spark, n):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101)], "a long, b long")
     got = dict(tuple(r) for r in components(links, Scratch(spark, "test"), "path").collect())
     assert got == {**{i: 0 for i in range(n + 1)}, 100: 100, 101: 100}
+
+
+def test_built_words_that_sums_modulo_two_to_the_64_confuse_stay_apart(spark):
+    word = "a"
+    while len(word) < 2048:  # Thue-Morse: each half the other's complement
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, word + " " + other), (4, other + " " + word), (5, word.upper())]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}

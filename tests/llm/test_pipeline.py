@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -45,3 +46,56 @@ def test_a_clean_text_stays_where_its_id_also_stands_on_a_near_copy(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
     got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()
     assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
+#: names that stages use for columns of their own, in results and on the way
+TAKEN = [
+    "score", "kept", "keep_id", "group_size", "text_sha256", "_key", "_rep", "_n", "_points", "_size", "_hash", "_win",
+    "_id", "_h", "_k", "id", "h", "k", "component", "cls", "n_shingles", "component_id", "_c0", "_c5",
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """Tables with null and empty texts, repeated rows, shared ids and clashing columns."""
+    folder = tmp_path_factory.mktemp("tables")
+    calm = [f"A calm line number {i} about rivers, hills and the slow morning walk of cloud {i * i}." for i in range(30)]
+    rows = [(i, t) for i, t in enumerate(calm)] + [(100, None), (101, ""), (102, " \n"), (3, calm[3]), (3, calm[3]), (7, calm[20] + " x")]
+    rows += [(None, None), (None, "a text without an id that is unlike the others"), (103, "word " * 50_000)]
+    extra = ", ".join(f"`{c}` string" for c in TAKEN) + ", n_chars long"
+    docs = spark.createDataFrame([(*r, *[f"{i} {c}" for c in TAKEN], i) for i, r in enumerate(rows)], f"doc_id long, text string, {extra}")
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, i % 7 == 0) for i in range(30)], "doc_id long, t boolean").selectExpr(
+        "doc_id", "0 as quality", "cast(t as int) as toxic"
+    ).write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "nothing of the kind stands in any of these documents at all, not one word after another")], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    return str(folder), spark.read.parquet(f"{folder}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES[:-1]])
+def test_columns_of_the_input_come_out_of_a_stage_as_they_went_in(spark, odd, name):
+    folder, docs = odd
+    after = dict(corpus_pipeline.STAGES)[name](spark, docs, folder)
+    assert after.columns == docs.columns
+    before = {r.n_chars: r for r in docs.collect()}
+    rows = after.collect()
+    assert len(rows) > 20 and len({r.n_chars for r in rows}) == len(rows)
+    assert all(r == before[r.n_chars] for r in rows)
+    assert dict(corpus_pipeline.STAGES)[name](spark, docs.limit(0), folder).collect() == []
+
+
+def test_run_on_odd_tables(spark, odd):
+    folder, docs = odd
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in rows} >= {0, 1, 2, 29, 103}
+    assert sum(r.doc_id == 103 for r in rows) > 40
+
+
+def test_run_on_an_empty_table(spark, odd, tmp_path):
+    folder, docs = odd
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -34,6 +34,16 @@ class Scratch:
                 remove(self.spark, self.paths.pop(name))
 
 
+def numbered_columns(docs: DataFrame, *wanted: str) -> tuple:
+    """docs with columns named by number, the new names of ``wanted``, and the columns that give the old names back.
+
+    A step can then add columns of its own without hiding one of docs that has the same name.
+    """
+    renamed = [f"_c{i}" for i in range(len(docs.columns))]
+    back = [F.col(r).alias(c) for r, c in zip(renamed, docs.columns)]
+    return docs.toDF(*renamed), *[renamed[docs.columns.index(c)] for c in wanted], back
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark a stored table for broadcast when it has at most max_rows rows; otherwise leave the join to shuffle."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tillstone.llm.common import Scratch, broadcast_if_small, lower_ascii
+from tillstone.llm.common import Scratch, broadcast_if_small, lower_ascii, numbered_columns
 
 WORD = r"[0-9A-Za-z\u0080-\x{10FFFF}]+"
 
@@ -171,8 +171,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, small: int = 500_000) -> DataFrame:
-    """The rows of docs that are not contaminated, with all their columns."""
+    """The rows of docs that are not contaminated, with all their columns as they were, whatever these are called."""
     bad = contamination(docs, benchmark, small=small).filter("contaminated").select(F.col("k").alias("_k")).distinct()
     bad = Scratch(docs.sparkSession, "index").store(bad, "contaminated")
-    rest = docs.withColumn("_k", _key("doc_id", "text")).join(broadcast_if_small(bad, small), "_k", "left_anti")
-    return rest.select(*docs.columns)
+    docs, id_col, text_col, named = numbered_columns(docs, "doc_id", "text")
+    rest = docs.withColumn("_k", _key(id_col, text_col)).join(broadcast_if_small(bad, small), "_k", "left_anti")
+    return rest.select(*named)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tillstone.llm.common import Scratch
+from tillstone.llm.common import Scratch, numbered_columns
 
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -103,13 +103,13 @@ class PatriciaTrie:
             node.rows = []
         node.rows.extend(rows)
         if sum(self.held.values()) > self.budget:
-            self._spill(max(self.held, key=self.held.get))
+            branched = [first for first in self.held if self.root.kids[first].kids]
+            if branched:  # a single text gains nothing from a spool
+                self._spill(max(branched, key=self.held.get))
 
     def _spill(self, first: int) -> None:
-        """Move the subtree below a first byte to a spool, unless it is a single text."""
+        """Move the subtree below a first byte to a spool."""
         kid = self.root.kids[first]
-        if not kid.kids:
-            return
         del self.root.kids[first], self.held[first]
         spool = self.spilled[first] = _Spool()
         for data, rows in self._walk(kid):
@@ -251,5 +251,6 @@ def patricia_dedup(
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    return patricia_dedup(docs, id_col, text_col).filter("kept").select(*docs.columns)
+    """The rows of docs that stay, with all their columns as they were, whatever these are called."""
+    docs, id_col, text_col, named = numbered_columns(docs, id_col, text_col)
+    return patricia_dedup(docs, id_col, text_col).filter("kept").select(*named)

@@ -34,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.llm.bytehash import SpanHash, mix, slices
-from tillstone.llm.common import Scratch, broadcast_if_small, parts
+from tillstone.llm.common import Scratch, broadcast_if_small, numbered_columns, parts
 from tillstone.llm.graph import components
 
 BLOCK = 1 << 19
 BUCKETS = 1 << 18
+#: Words of so many bytes are hashed by xxh3. Sums modulo 2**64 clash for built words of about a thousand bytes.
+LONG_WORD = 256
 MISS = 2e-6  # bound of the probability that a pair at the threshold agrees in too few coordinates
 
 
@@ -54,6 +56,8 @@ def _shingles(texts: list[bytes], words: int, hasher: SpanHash) -> tuple[np.ndar
     ends = np.flatnonzero((data == 32) | (data == 10))
     starts = np.concatenate([[0], ends[:-1] + 1])
     word = mix(hasher.spans(hasher.prefix(data), starts, ends))
+    for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+        word[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
     last = np.flatnonzero(data[ends] == 10)  # index of the last word of each text
     count = np.diff(np.concatenate([[-1], last]))
     first = last - count + 1
@@ -405,12 +409,14 @@ def without_near_copies(
 ) -> DataFrame:
     """The rows of docs whose id is the smallest of its component; rows with a null id stay.
 
-    Rows that share an id fall together, or each by its own text where ``whole_ids`` is false.
+    Rows that share an id fall together, or each by its own text where ``whole_ids`` is false. All columns of docs
+    come back as they were, whatever their names; an empty table gives no rows.
     """
     names = ["_id"] if whole_ids else ["_id", "_h"]
+    docs, id_col, text_col, named = numbered_columns(docs, id_col, text_col)
     rows = _labelled(docs, id_col, text_col, words, percent, 32, None, small)
     out = rows.filter("NOT kept").select(F.col("id").alias("_id"), F.col("h").alias("_h")).select(*names).distinct()
     dropped = Scratch(docs.sparkSession, "near").store(out, "dropped")
     keyed = docs.withColumn("_id", F.col(id_col))
     keyed = keyed if whole_ids else keyed.withColumn("_h", F.xxhash64(text_col))
-    return keyed.join(broadcast_if_small(dropped, small), names, "left_anti").select(*docs.columns)
+    return keyed.join(broadcast_if_small(dropped, small), names, "left_anti").select(*named)

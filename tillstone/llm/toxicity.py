@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import in_fold
+from tillstone.llm.common import in_fold, numbered_columns
 from tillstone.llm.learning import training_sample, with_scores
 
 WORD = re.compile(r"[^\W_]+")
@@ -298,5 +298,7 @@ def scored(docs: DataFrame, model: Network, text_col: str = "text") -> DataFrame
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs that score below the threshold, with all their columns."""
-    return scored(docs, toxicity_model(docs, labels)).filter(f"score < {threshold}").select(*docs.columns)
+    """The rows of docs that score below the threshold, with all their columns as they were, whatever these are called."""
+    model = toxicity_model(docs, labels)
+    docs, text_col, named = numbered_columns(docs, "text")
+    return scored(docs, model, text_col).filter(F.col("score") < threshold).select(*named)
