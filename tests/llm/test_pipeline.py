@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.test_decontaminate import brute as leaked
 from tests.llm.test_near_dedup import brute as linked
+from tillstone.sources.paths import child_names
 
 SF = "/root/testdata/sf0.001"
 
@@ -99,3 +100,13 @@ def test_run_on_an_empty_table(spark, odd, tmp_path):
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_run_leaves_its_result_alone_behind_and_the_session_as_it_was(spark, odd):
+    folder, _ = odd
+    shared, option = spark.conf.get("spark.checkpoint.dir"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, rows = set(child_names(spark, shared)), spark.conf.get(option)
+    assert corpus_pipeline.run(spark, folder).count() > 20
+    left = set(child_names(spark, shared)) - before
+    assert len(left) == 1 and left.pop().startswith("pipeline-packing")
+    assert spark.conf.get(option) == rows

@@ -1,0 +1,145 @@
+"""The registered queries that SQL can't express, beside plain versions on the given tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.test_secrets import brute_base
+from tillstone.llm import quality, toxicity
+from tillstone.llm.queries import QUERIES
+from tillstone.llm.secrets import KINDS
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+
+
+def _tables(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def _checked(got, docs, folds, fold, threshold):
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == fold)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= threshold)
+    return {r.doc_id: r.score for r in got}
+
+
+def plain_features(text):
+    data = text.encode()
+    share = lambda chars: sum(bytes([b]) in [c.encode() for c in chars] for b in data) / max(1, len(data))
+    words, lines = data.split(), data.split(b"\n")
+    per_word = lambda test: sum(map(test, words)) / max(1, len(words))
+    return [
+        math.log(1 + len(data)),
+        share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share("0123456789"), share(".,;:"), share("#$%&*@^~<>{}[]\\/_=+"), share("!?"), share("|"), share("\n"),
+        sum(b > 127 for b in data) / max(1, len(data)),
+        per_word(len),
+        len({*words}) / max(1, len(words)),
+        len({*lines}) / len(lines),
+        per_word(lambda w: w[:1].isupper()),
+        per_word(lambda w: len(w) < 4),
+        per_word(lambda w: not w[-1:].isalnum() and w[-1:] not in (b".", b",", b";", b":")),
+    ]
+
+
+def test_quality_scores_are_sums_of_table_entries_of_plain_features(spark, docs):
+    got = _checked(QUERIES["op2_additive_model"](spark, SF).collect(), docs, 3, 1, 0.5)
+    model = quality.quality_model(*_tables(spark))
+    for doc in sorted(docs, key=lambda d: len(docs[d]))[:120]:
+        x = plain_features(docs[doc])
+        z = model.start + sum(table[sum(v >= e for e in edges)] for v, edges, table in zip(x, model.edges, model.tables))
+        for (a, b), grid in zip(model.pairs, model.grids):
+            z += grid[sum(x[a] >= e for e in model.coarse[a]), sum(x[b] >= e for e in model.coarse[b])]
+        assert got[doc] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
+def plain_pass(net, words):
+    """The logit of one window of words, a step at a time and in double precision."""
+    d, w = toxicity.WIDTH, {k: v.astype(np.float64) for k, v in net.w.items()}
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    inputs = []
+    for word in words:
+        if word is None:
+            inputs.append(np.zeros(2 * d + toxicity.FIXED))
+        else:
+            grams, _ = toxicity._grams([word], 3, toxicity.GRAMS)
+            inputs.append(np.concatenate([w["word"][net.index.get(word, 0)], w["gram"][grams].mean(axis=0), net.fixed([word])[0]]))
+    ways = []
+    for way, turn in (("f", inputs), ("b", inputs[::-1])):
+        h, states = np.zeros(d), []
+        for x in turn:
+            given, own = x @ w[f"in_{way}"] + w[f"bias_{way}"], h @ w[f"rec_{way}"]
+            z, r = sigmoid(given[:d] + own[:d]), sigmoid(given[d : 2 * d] + own[d : 2 * d])
+            n = np.tanh(given[2 * d :] + r * own[2 * d :])
+            h = (1 - z) * n + z * h
+            states.append(h)
+        ways.append(states if way == "f" else states[::-1])
+    both = [np.concatenate(pair) for pair, word in zip(zip(*ways), words) if word is not None]
+    if not both:
+        both = [np.concatenate(pair) for pair in zip(*ways)]  # nothing to attend to: all alike
+        energy = np.zeros(len(both))
+    else:
+        energy = np.array([np.tanh(s @ w["att"]) @ w["att_v"] for s in both])
+    share = np.exp(energy - energy.max())
+    return (share / share.sum()) @ np.array(both) @ w["out"] + w["out_b"][0]
+
+
+def test_toxicity_scores_are_the_worst_of_plain_passes_over_all_windows(spark, docs):
+    got = _checked(QUERIES["op4_gated_windows"](spark, SF).collect(), docs, 4, 2, 0.3)
+    net = toxicity.toxicity_model(*_tables(spark))
+    size, stride = net.options.window, net.options.stride
+    seen = 0
+    for doc in sorted(docs, key=lambda d: len(docs[d]))[:60]:
+        words = toxicity.WORD.findall(docs[doc].lower())
+        worst, at = -math.inf, 0
+        while True:
+            window = words[at : at + size]
+            worst = max(worst, plain_pass(net, window + [None] * (size - len(window))))
+            seen += 1
+            at += stride
+            if at - stride + size >= len(words):
+                break
+        assert got[doc] == pytest.approx(1 / (1 + math.exp(-worst)), abs=2e-3)
+    assert seen > 60
+
+
+def test_secrets_columns_follow_from_the_spans(spark, docs):
+    got = QUERIES["op5_randomness_battery"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        base = brute_base(docs[r.doc_id])
+        named = [f"{KINDS[k]}:{s}:{e}" for s, k, e in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(b[1] == k for b in base) for k in range(3)]
+        spans = r.spans.split(",") if r.spans else []
+        assert {*named} <= {*spans} and all(re.fullmatch(r"[a-z]+:\d+:\d+", s) for s in spans)
+        starts = [int(s.split(":")[1]) for s in spans]
+        assert starts == sorted(starts)
+
+
+def test_repeated_bytes_columns_equal_all_windows(spark, docs):
+    seen, want = set(), {}
+    for doc in sorted(docs):
+        data, gone = docs[doc].encode(), np.zeros(len(docs[doc].encode()) + 1, bool)
+        for p in range(len(data) - 99):
+            window = data[p : p + 100]
+            if window in seen:
+                gone[p : p + 100] = True
+            seen.add(window)
+        kept = bytes(b for b, x in zip(data, gone) if not x)
+        runs = int((gone[1:] < gone[:-1]).sum())
+        want[doc] = (len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
+    got = QUERIES["op9_sampled_suffixes"](spark, SF)
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == want

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_SCOPES: list[list["Scratch"]] = []
+
+
+@contextmanager
+def passing_tables() -> Iterator[None]:
+    """Remove at the end what operators called inside have stored: their results must have been written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for scratch in _SCOPES.pop():
+            scratch.drop(*list(scratch.paths))
+
+
 class Scratch:
     """Intermediate tables of one operator call, in the folder that all executors share.
 
@@ -21,6 +39,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = spark, label, {}
+        if _SCOPES:
+            _SCOPES[-1].append(self)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_dir(self.spark, f"{self.label}-{name}")
@@ -54,9 +74,8 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
 
     Whole texts make large Arrow buffers, which an executor's JVM holds outside its heap, two tasks' worth and more.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(rows))
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, str(rows))
 
 
 def parts(batches, rows: int = 1000):
