@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import Scratch, documents, small_batches
+from tillstone.llm.common import ARROW_ROWS, Scratch, documents, passing_tables, small_batches
 from tillstone.llm.decontaminate import without_contaminated
 from tillstone.llm.exact_dedup import without_copies
 from tillstone.llm.near_dedup import without_near_copies
@@ -59,10 +59,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in a row. What a stage stores on its way is removed once its result is written."""
     docs = documents(spark, sf_dir)
     scratch = Scratch(spark, "pipeline")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = scratch.store(stage(spark, docs, sf_dir), name)
-        if k:
-            scratch.drop(STAGES[k - 1][0])
+    rows = spark.conf.get(ARROW_ROWS)
+    try:
+        for k, (name, stage) in enumerate(STAGES):
+            with passing_tables():
+                docs = scratch.store(stage(spark, docs, sf_dir), name)
+            if k:
+                scratch.drop(STAGES[k - 1][0])
+    finally:
+        spark.conf.set(ARROW_ROWS, rows)
     return docs
