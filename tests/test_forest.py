@@ -87,3 +87,10 @@ def test_a_forest_of_single_leaves(spark, tmp_path):
     nodes = forest_nodes(spark, str(tmp_path / "m"))
     assert {r.walked for r in with_walked_score(rows, nodes, 3).collect()} == {5.0}
     assert importances(nodes).collect() == []
+
+
+@pytest.mark.parametrize("add", [with_walked_score, with_leaves])
+def test_no_row_carries_the_forest(grown, add):
+    rows, _, nodes = grown
+    plan = add(rows, nodes, 6)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS _trees" not in plan and "scalar-subquery" in plan

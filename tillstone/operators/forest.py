@@ -8,6 +8,8 @@ function over their depth, inside the scan's stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +45,8 @@ def forest_nodes(spark: SparkSession, model_path: str) -> DataFrame:
     )
 
 
-def _trees(nodes: DataFrame, most_nodes: int) -> Column:
-    """All trees as one value, tree by tree and node by node, as a scalar subquery.
+def _trees(nodes: DataFrame, most_nodes: int) -> tuple[Column, int]:
+    """All trees as one value, tree by tree and node by node, as a scalar subquery; and their number.
 
     Like MLlib's own scoring this hands every executor the whole forest, whose size follows the number of trees and
     their depth, not the rows. It is checked nevertheless, and so is the numbering that the walk relies on.
@@ -53,6 +55,7 @@ def _trees(nodes: DataFrame, most_nodes: int) -> Column:
         F.count(F.lit(1)).alias("nodes"),
         F.count_distinct("tree", "node").alias("names"),
         F.count_if(F.col("categories") >= 0).alias("categorical"),
+        F.count_distinct("tree").alias("trees"),
     ).first()
     if checks["nodes"] > most_nodes:
         raise ValueError(f"the forest has {checks['nodes']} nodes, more than {most_nodes}; score it with the model itself")
@@ -60,11 +63,21 @@ def _trees(nodes: DataFrame, most_nodes: int) -> Column:
         raise ValueError("a walk needs each node once and splits on numbers only")
     node = F.struct("node", "feature", "threshold", "below", "above", "value")
     trees = nodes.groupBy("tree").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
-    return trees.agg(F.array_sort(F.collect_list(F.struct("tree", "nodes"))).alias("trees")).scalar()
+    value = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "nodes"))).alias("trees")).scalar()
+    return value, checks["trees"]
+
 
+def _with_walk(rows: DataFrame, nodes: DataFrame, features: str, output: str, most_nodes: int, walk: Callable) -> DataFrame:
+    """rows with a column made by ``walk`` of the trees, a row's feature values and the number of trees.
 
-def _with_trees(rows: DataFrame, nodes: DataFrame, features: str, most_nodes: int) -> DataFrame:
-    return rows.withColumns({"_trees": _trees(nodes, most_nodes), "_values": vector_to_array(F.col(features))})
+    The values are bound by a function over an array of one, so they are unpacked once a row and not at every step.
+    ``walk`` has to name the trees once: the optimizer then puts the subquery's value in their place, whereas named
+    twice they would become a column, a copy of the forest in every row.
+    """
+    trees, n = _trees(nodes, most_nodes)
+    values = F.array(vector_to_array(F.col(features)))
+    found = F.get(F.transform(values, lambda v: walk(F.col("_trees"), v, n)), F.lit(0))
+    return rows.withColumn("_trees", trees).withColumn(output, found).drop("_trees")
 
 
 def _leaf(nodes: Column, values: Column, max_depth: int) -> Column:
@@ -87,10 +100,12 @@ def with_walked_score(
     most_nodes: int = MOST_NODES,
 ) -> DataFrame:
     """Add the mean of the trees' leaf values, equal to the model's own prediction."""
-    leaf = lambda tree: F.get(tree["nodes"], _leaf(tree["nodes"], F.col("_values"), max_depth))["value"]
-    scores = F.transform("_trees", leaf)
-    score = F.aggregate(scores, F.lit(0.0), lambda total, x: total + x) / F.size("_trees")
-    return _with_trees(rows, nodes, features, most_nodes).withColumn(output, score).drop("_trees", "_values")
+
+    def walk(trees: Column, values: Column, n: int) -> Column:
+        scores = F.transform(trees, lambda tree: F.get(tree["nodes"], _leaf(tree["nodes"], values, max_depth))["value"])
+        return F.aggregate(scores, F.lit(0.0), lambda total, x: total + x) / n
+
+    return _with_walk(rows, nodes, features, output, most_nodes, walk)
 
 
 def with_leaves(
@@ -102,9 +117,11 @@ def with_leaves(
     most_nodes: int = MOST_NODES,
 ) -> DataFrame:
     """Add the node that a row ends in, one per tree."""
-    leaf = lambda tree: _leaf(tree["nodes"], F.col("_values"), max_depth)
-    found = _with_trees(rows, nodes, features, most_nodes).withColumn(output, F.transform("_trees", leaf))
-    return found.drop("_trees", "_values")
+
+    def walk(trees: Column, values: Column, _: int) -> Column:
+        return F.transform(trees, lambda tree: _leaf(tree["nodes"], values, max_depth))
+
+    return _with_walk(rows, nodes, features, output, most_nodes, walk)
 
 
 def leaf_means(rows: DataFrame, nodes: DataFrame, max_depth: int, label: str, features: str = "scaledFeatures") -> DataFrame:
