@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 from tillstone.llm.decontaminate import PositionalIndex, contamination, without_contaminated
 
@@ -92,3 +93,34 @@ def test_proximity(spark):
     near = lambda slack: {r.k.id for r in index.near(slack).collect()}
     assert near(0) == {2} and near(2) == {1, 2} and near(9) == {1, 2, 3}
     assert [(r.k.id, r.hits[0].start, r.hits[0].length) for r in index.phrases().collect()] == [(2, 0, 3)]
+
+
+def test_near_windows_equal_brute_force(spark):
+    rng = random.Random(8)
+    names = [f"w{i}" for i in range(25)]
+    items = [(i, " ".join(rng.choice(names) for _ in range(rng.randint(2, 16)))) for i in range(12)]
+    docs = []
+    for i in range(60):
+        w = [rng.choice(names) for _ in range(rng.randint(0, 40))]
+        part = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 3)):  # words put in or left out
+            at = rng.randint(0, len(part))
+            part = part[:at] + (["new"] if rng.random() < 0.5 else []) + part[at + (rng.random() < 0.5) :]
+        docs.append((i, " ".join(w[:10] + part + w[10:])))
+    count = Counter(x for _, t in docs for x in words(t))
+    windows = {tuple(w[i : i + 13]) for _, t in items for w in [words(t)] for i in range(max(1, len(w) - 12))}
+    want = {}
+    for doc, text in docs:
+        w, near = words(text), 0
+        for win in windows:
+            probes = sorted((count[x], off, x) for off, x in enumerate(win))[:3]
+            if not probes[0][0] or any(tuple(w[i : i + len(win)]) == win for i in range(len(w))):
+                continue
+            starts = [{p - off for p, x in enumerate(w) if x == term} for _, off, term in probes]
+            near += any(all(any(s <= q <= s + 2 for q in own) for own in starts) for s in set().union(*starts))
+        want[doc] = near
+    got = contamination(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string"), slack=2
+    )
+    assert {r.doc_id: r.n_near for r in got.collect()} == want
+    assert sum(map(bool, want.values())) > 15 and not all(want.values())

@@ -141,14 +141,21 @@ class PositionalIndex:
         )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, slack: int | None = None, **options) -> DataFrame:
     """One row per row of docs: id, ``n_words``, ``n_hit`` (words inside an occurrence of a benchmark window),
-    ``items`` (ids as strings, sorted), ``contaminated`` (a twentieth of the words or more are hit).
+    ``items`` (ids as strings, sorted), ``contaminated`` (a twentieth of the words or more are hit). With ``slack``
+    also ``n_near``: windows that do not occur but whose rare terms lie within so many words of their places.
 
-    Empty tables give no rows or no hits; see PositionalIndex for options and odd rows.
+    Empty tables give no rows or no hits; see PositionalIndex for options and odd rows. Texts of any length are read
+    whole, as rows of words.
     """
     index = PositionalIndex(docs, benchmark, **options)
     hits = index.phrases()
+    near = None
+    if slack is not None:
+        exact = hits.select("k", F.explode("hits.wid").alias("wid")).distinct()
+        close = index.near(slack).select("k", "wid").distinct().join(exact, ["k", "wid"], "left_anti")
+        near = index.scratch.store(close.groupBy("k").agg(F.count(F.lit(1)).alias("n_near")), "near")
     covered = F.array_distinct(
         F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["length"] - 1)))
     )
@@ -164,10 +171,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     ).join(found, "k", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items = F.coalesce("items", F.array().cast(T.ArrayType(T.StringType())))
-    return out.select(
+    columns = [
         "k", index.id_col, "n_words", n_hit.alias("n_hit"), items.alias("items"),
         ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
-    )
+    ]
+    if near is not None:
+        out = out.join(near, "k", "left")
+        columns.append(F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
+    return out.select(*columns)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, small: int = 500_000) -> DataFrame:

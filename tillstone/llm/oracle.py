@@ -109,7 +109,7 @@ ORACLE = {
             select doc_id, n, unnest(range(1, len(ws) - n + 2)) as k, ws
             from d, (select distinct n from windows) where len(ws) >= n
         ), hits as (
-            select distinct g.doc_id, g.k, g.n, item_id
+            select distinct g.doc_id, g.k, g.n, w, item_id
             from (select doc_id, k, n, array_to_string(ws[k:k + n - 1], ' ') as w from grams) g
             join windows using (n, w)
         ), covered as (
@@ -119,11 +119,37 @@ ORACLE = {
             select doc_id, count(distinct item_id) as n_items,
                    string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items
             from hits group by 1
+        ), terms as (
+            select w, unnest(string_split(w, ' ')) as term, generate_subscripts(string_split(w, ' '), 1) - 1 as off
+            from (select distinct w from windows)
+        ), tokens as (
+            select doc_id, unnest(ws) as term, generate_subscripts(ws, 1) - 1 as pos from d
+        ), counted as (
+            select w, term, off, coalesce(c, 0) as c, row_number() over (partition by w order by coalesce(c, 0), off, term) as r
+            from terms left join (select term, count(*) as c from tokens group by 1) using (term)
+        ), probes as (
+            select w, term, off, 1 << (r - 1)::int as bit, least(3, count(*) over (partition by w)) as need,
+                   min(c) over (partition by w) as least_c, r
+            from counted
+        ), shifted as (
+            select distinct doc_id, w, pos - off as start, bit, (1 << need::int) - 1 as full_bits
+            from tokens join probes using (term) where r <= 3 and least_c > 0
+        ), close as (
+            select distinct doc_id, w from (
+                select doc_id, w, full_bits, bit_or(bit) over (partition by doc_id, w order by start
+                                                               range between current row and 2 following) as bits
+                from shifted
+            ) where bits = full_bits
+        ), nearly as (
+            select doc_id, count(*) as n_near from close
+            anti join (select distinct doc_id, w from hits) using (doc_id, w)
+            group by 1
         )
         select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
                sha256(coalesce(items, '')) as items_sha256,
-               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
-        from d left join covered using (doc_id) left join named using (doc_id)""",
+               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated,
+               coalesce(n_near, 0) as n_near
+        from d left join covered using (doc_id) left join named using (doc_id) left join nearly using (doc_id)""",
     "op6_sentence_rules": rf"""
         with known(sid, sentence) as (values {_values([(i + 1, x) for i, x in enumerate(SENTENCES)])}),
         rules(licence, rule, sids) as (values {_values(RULES)}),
