@@ -111,3 +111,24 @@ def test_empty(spark):
     assert secrets(spark.createDataFrame([], DOCS)).count() == 0
     row = secrets(spark.createDataFrame([(1, None)], "doc_id long, text string")).first()
     assert row.spans == []
+
+
+def test_finds_keys_in_documents_that_no_fixed_pattern_knows(spark):
+    rng = random.Random(6)
+    names = ["verantwortungsbewusstseinstraining", "org_example_service_configuration", "z" * 30, "xyz" * 9]
+    prose = lambda n: " ".join(rng.choice(["the", "river", "of", "morning", rng.choice(names)]) for _ in range(n))
+    rows, planted = [], {}
+    for doc in range(120):
+        text = prose(40)
+        if doc % 3 == 0:
+            key = "".join(rng.choice(ALPHABETS[rng.choice(["base64", "alnum"])]) for _ in range(rng.choice([32, 44, 64])))
+            planted[doc] = (len(text) + 1, len(text) + 1 + len(key))
+            text += " " + key + " " + prose(30)
+        rows.append((doc, text))
+    got = secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert not any(brute_base(text) for _, text in rows)
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if KINDS[s.kind] == "random"] for r in got}
+    assert sum(place in found[doc] for doc, place in planted.items()) >= 0.9 * len(planted)
+    extra = sum(len([p for p in spans if p != planted.get(doc)]) for doc, spans in found.items())
+    words = sum(len(t) >= 20 for _, text in rows for t in text.split())
+    assert extra <= 0.02 * words
