@@ -154,7 +154,7 @@ select 'FINISHED' as status, kind, name, value from (
          ('param', 'features', '[''CustomerID'', ''UnitPrice'', ''CountryIndex'', ''StockCodeIndex'']'),
          ('param', 'seed', '42'), ('param', 'train_percent', '80'), ('param', 'split', 'hash'),
          ('param', 'split_keys', 'InvoiceNo,StockCode'), ('param', 'fit_on', 'all'), ('param', 'handle_invalid', 'error'),
-         ('param', 'max_memory_mb', '256'), ('param', 'cache_node_ids', 'True'), ('param', 'bootstrap', 'True'),
+         ('param', 'max_memory_mb', '256'), ('param', 'cache_node_ids', 'True'), ('param', 'bootstrap', 'True'), ('param', 'split_seed', 'None'),
          ('metric', 'rmse', 'positive'), ('metric', 'r2', 'at most 1'),
          ('schema', 'silver', 'stored'), ('model', 'quantity_forest', '1')
 ) fixed(kind, name, value)

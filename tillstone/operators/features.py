@@ -160,10 +160,13 @@ def fit_features(df: DataFrame, path: str, handle_invalid: str = "error") -> Fea
     return FeatureModel(labels, scaler, handle_invalid)
 
 
-def with_split(df: DataFrame, key_columns: Sequence[str], train_percent: int = 80) -> DataFrame:
+def with_split(
+    df: DataFrame, key_columns: Sequence[str], train_percent: int = 80, seed: int | None = None
+) -> DataFrame:
     """Mark training rows by a hash of their content: repeatable on any partitioning, no shuffle.
 
-    Rows with equal keys fall on the same side.
+    Rows with equal keys fall on the same side. Each ``seed`` gives another division of the same rows.
     """
-    key = F.concat_ws("|", *(F.col(c).cast("string") for c in key_columns))
+    lead = [] if seed is None else [F.lit(str(seed))]
+    key = F.concat_ws("|", *lead, *(F.col(c).cast("string") for c in key_columns))
     return df.withColumn("is_train", hash_bucket(key, 100) < train_percent)
