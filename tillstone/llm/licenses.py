@@ -111,6 +111,7 @@ def licences(
     matches where its identifiers follow one another among the document's known sentences, whatever unknown ones
     stand between. A match inside a longer one is left out; each occurrence counts. Null or empty texts and empty
     tables give no rows, null ids are kept, rows equal in id and text report alike, other columns are not read.
+    Texts of any length are searched whole.
     """
     spark = docs.sparkSession
     numbered = docs.select(

@@ -164,7 +164,11 @@ def quality_model(
     docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, options: Options = Options(),
     id_col: str = "doc_id", text_col: str = "text",
 ) -> AdditiveModel:
-    """A model from at most ``options.sample`` labelled rows whose id hash isn't in the held-out fold."""
+    """A model from at most ``options.sample`` labelled rows whose id hash isn't in the held-out fold.
+
+    Rows with a null id or a label other than 0 and 1 are not learned from; without rows, or with one label alone, the
+    model scores every text alike. Sampled texts are measured whole, in the executors.
+    """
     rows = training_sample(docs, labels, "quality", folds, held_out, options.sample, id_col, text_col)
 
     def measured(batches):

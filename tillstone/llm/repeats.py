@@ -306,7 +306,8 @@ def repeated_bytes(
     id are different texts in the order of their hash, unless the texts are equal too: then they are one row and
     fare alike. Shorter texts and empty tables lose nothing; other columns are not read. ``small`` bounds what is
     broadcast, in rows or list entries. Grams with up to ``group`` different runs are settled within a task, those
-    with more by a shuffle of their windows, with equal results. Windows are told apart by 128 bits of hash.
+    with more by a shuffle of their windows, with equal results. Windows are told apart by 128 bits of hash. A text
+    of any length is read whole, in blocks that overlap by a window.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")

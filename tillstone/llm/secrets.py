@@ -133,7 +133,8 @@ def secrets(docs: DataFrame, alpha: float = 0.01, id_col: str = "doc_id", text_c
 
     ``kind`` counts in KINDS. Fixed patterns come first and are all kept; the battery adds spans of kind
     ``random``, also where a fixed one lies. Null text has no spans, rows equal in id and text get the same,
-    null ids are kept, empty tables give no rows, and other columns are not read.
+    null ids are kept, empty tables give no rows, and other columns are not read. Texts of any length are searched
+    whole; a long text is one row of its matches.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
     found = scratch.store(matches(docs, id_col, text_col), "matches")

@@ -275,7 +275,11 @@ def toxicity_model(
     docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, options: Options = Options(),
     id_col: str = "doc_id", text_col: str = "text",
 ) -> Network:
-    """A network from at most ``options.sample`` labelled rows whose id hash isn't in the held-out fold."""
+    """A network from at most ``options.sample`` labelled rows whose id hash isn't in the held-out fold.
+
+    Rows with a null id or a label other than 0 and 1 are not learned from; without both labels every text scores low.
+    The sampled texts come to the driver whole.
+    """
     rows = training_sample(docs, labels, "toxic", folds, held_out, options.sample, id_col, text_col).collect()
     rows = sorted((r.text or "", r.label) for r in rows)
     model = train([t for t, _ in rows], [y for _, y in rows], options)
