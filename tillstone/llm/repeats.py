@@ -22,7 +22,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tillstone.llm.bytehash import SpanHash, mix
 from tillstone.llm.common import Scratch, broadcast_if_small, parts
@@ -321,9 +320,11 @@ def repeated_bytes(
     runs = scratch.store(runs.join(known, "gram", "left").filter("done OR again").drop("again"), "runs")
 
     key = F.struct(F.col("id").isNull().alias("last"), "id", "tid", "start")
-    first = F.min("key").over(Window.partitionBy("gram", "content"))
+    # a run that many texts share is brought down to one row a task first, and its join can be split
+    rest = runs.filter("NOT done").drop("done").withColumn("key", key)
+    first = rest.groupBy("gram", "content").agg(F.min("key").alias("first"))
     runs_left = scratch.store(
-        runs.filter("NOT done").withColumn("key", key).withColumn("stays", F.col("key") == first).drop("key", "done"), "judged"
+        rest.join(first, ["gram", "content"]).withColumn("stays", F.col("key") == F.col("first")).drop("key", "first"), "judged"
     )
     kinds = runs_left.filter("stays").groupBy("gram").agg(F.countDistinct("content").alias("c")).filter("c > 1")
     kinds = kinds.select("gram", (F.col("c") > group).alias("hot"))
