@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
+import re
 import textwrap
 
 import pytest
 
-from tillstone.llm.licenses import SENTENCES, licences
+from tillstone.llm.licenses import FULL_STOPS, OTHER_ENDS, SENTENCES, licences
 
 
 def run(spark, texts, **options):
@@ -96,3 +98,80 @@ def test_places_and_bounds_of_wrapped_sentences(spark):
         "This project is\nlicensed under the MIT license", "released under\nthe\nreleased under\nthe MIT license", "released under the the mit\nlicense",
     ])
     assert got == [(0, "MIT", "reference", 1, 4), (3, "MIT", "reference", 0, 1), (4, "MIT", "reference", 2, 3)]
+
+
+def brute(texts, sentences, rules):
+    """Every run of pieces against every sentence, every run of identifiers against every rule."""
+    out = []
+    for doc, text in enumerate(texts):
+        seen, at = [], 0
+        for stretch in re.split(FULL_STOPS.replace(r"\z", r"\Z"), text or ""):
+            pieces = [re.sub("[^A-Za-z0-9]+", " ", p).strip().lower() for p in re.split(OTHER_ENDS.replace(r"\z", r"\Z"), stretch)]
+            full = [i for i, p in enumerate(pieces) if p]
+            for x, i in enumerate(full):
+                for j in full[x:]:
+                    whole = " ".join(p for p in pieces[i : j + 1] if p)
+                    seen += [(at + i, sid, at + j) for sid, s in sentences if s == whole]
+            at += len(pieces)
+        seen = sorted(s for s in seen if not any(o[0] <= s[0] and o[2] >= s[2] and o[2] - o[0] > s[2] - s[0] for o in seen))
+        sids = [s[1] for s in seen]
+        found = [
+            (a, a + len(r[2]) - 1, r) for r in rules for a in range(len(sids)) if r[2] and sids[a : a + len(r[2])] == r[2]
+        ]
+        out += [
+            (doc, r[0], r[1], seen[a][0], seen[b][2]) for a, b, r in found
+            if not any(c <= a and d >= b and d - c > b - a for c, d, _ in found)
+        ]
+    return sorted(out)
+
+
+def test_tables_of_many_sentences_and_rules_against_brute_force(spark):
+    rng = random.Random(4)
+    phrase = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    sentences = sorted({phrase(rng.randint(1, 6)) for _ in range(1500)})
+    sentences = [(7 * i + 3, s) for i, s in enumerate(sentences)]
+    sids = [sid for sid, _ in sentences[:40]]
+    rules = [(f"L{i % 90}", f"r{i}", [rng.choice(sids) for _ in range(rng.randint(0, 3))]) for i in range(3000)]
+    some = [s for _, s in sentences[:40]]
+    cut = lambda s: "".join(rng.choice([" ", " ", "\n", "\n# ", "\n\n"]) if c == " " else c for c in s)
+    texts = [
+        "".join(cut(rng.choice(some)).upper() + rng.choice([". ", "\n", "; ", ";\n", "! ", ";. ", " zz\n"]) for _ in range(rng.randint(0, 12)))
+        for _ in range(60)
+    ]
+    known = spark.createDataFrame(sentences, "sid int, sentence string")
+    ordered = spark.createDataFrame(rules, "licence string, rule string, sids array<int>")
+    expected = brute(texts, sentences, rules)
+    assert len(expected) > 300 and run(spark, texts, sentences=known, rules=ordered) == expected
+    assert run(spark, texts, sentences=known, rules=ordered, small=0) == expected
+
+
+def test_sentences_longer_than_a_block_and_begun_often(spark):
+    long = " ".join(f"w{i}" for i in range(700))
+    text = "\n".join(textwrap.wrap(long, 60))
+    got = run(spark, ["w0 w1\n" + text + "\n" + text + "\nw0 w1", text[:-1]], sentences=[long, "w0 w1"], rules=[("L", "l", [1]), ("S", "s", [2])])
+    lines = text.count("\n") + 1
+    assert got == [
+        (0, "L", "l", 1, lines), (0, "L", "l", 1 + lines, 2 * lines), (0, "S", "s", 0, 0), (0, "S", "s", 1 + 2 * lines, 1 + 2 * lines),
+    ]
+
+
+def test_further_licences(spark):
+    disclaimer = (
+        "\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+        "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    )
+    mozilla = (
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+        "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."
+    )
+    affero = GPL.replace("General", "Affero General")
+    wrapped = ["\n".join(line for p in (BSD + disclaimer).split("\n\n") for line in [*textwrap.wrap(p, 70), ""])]
+    got = run(spark, wrapped + [mozilla, affero, "# SPDX-License-Identifier: ISC"])
+    assert [r[:3] for r in got] == [
+        (0, "BSD-3-Clause", "full text"), (1, "MPL-2.0", "file notice"), (2, "AGPL-3.0", "file notice"), (3, "ISC", "identifier"),
+    ]

@@ -4,21 +4,23 @@ Texts are cut into pieces at sentence ends and line breaks. A known licence
 sentence is found where the normal forms of one piece, or of several that
 follow one another within a sentence, make it up: files are wrapped at some
 column and often commented out. The identifiers of a document in order are
-matched against rules, which are ordered identifier sequences. Known sentences
-and rules are fixed tables, so both stay on every executor. Only texts whose
-whole normal form holds a known sentence are cut, and only pieces that are part
-of one leave the scan.
+matched against rules, which are ordered identifier sequences.
+
+Sentences and rules are tables of any length, joined by hash and by identifier;
+the plan is the same for thirty and for thirty thousand. A sentence must begin
+with a piece that is a run of its first words, so one hash for each such run is
+all that the scan is joined with. Texts with such a piece are stored, and only
+there the rest of the sentence is looked for, word by word and exactly.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tillstone.llm.common import Scratch, broadcast_if_small
+
 # Normal forms of licence sentences (lower-case words with one space), numbered from 1.
 SENTENCES = [
     "released under the mit license",
@@ -50,6 +52,32 @@ SENTENCES = [
     "spdx license identifier bsd 3 clause",
     "spdx license identifier gpl 3 0 only",
     "all rights reserved",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "this source code form is subject to the terms of the mozilla public license v",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "see the gnu lesser general public license for more details",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "see the gnu affero general public license for more details",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    "licensed under cc by sa 4 0",
+    "licensed under cc0 1 0",
+    "spdx license identifier bsd 2 clause",
+    "spdx license identifier isc",
+    "spdx license identifier mpl 2 0",
+    "spdx license identifier gpl 2 0 only",
+    "spdx license identifier lgpl 2 1 only",
+    "spdx license identifier lgpl 3 0 only",
+    "spdx license identifier agpl 3 0 only",
+    "spdx license identifier cc0 1 0",
 ]
 # Licence, rule and its sentence numbers in order.
 RULES = [
@@ -74,35 +102,114 @@ RULES = [
     ("BSD-3-Clause", "identifier", [27]),
     ("GPL-3.0", "identifier", [28]),
     ("proprietary", "reservation", [29]),
+    ("BSD-3-Clause", "full text", [21, 22, 23, 24, 30, 31]),
+    ("BSD-2-Clause", "full text", [21, 22, 23, 30, 31]),
+    ("ISC", "full text", [32, 33, 34]),
+    ("ISC", "grant", [32]),
+    ("MPL-2.0", "reference", [35]),
+    ("MPL-2.0", "file notice", [35, 36]),
+    ("MPL-2.0", "file notice", [35, 37]),
+    ("GPL-2.0", "file notice", [38, 16, 17]),
+    ("GPL-2.0", "grant", [38]),
+    ("LGPL-2.1", "file notice", [39, 41, 42]),
+    ("LGPL-2.1", "grant", [39]),
+    ("LGPL-3.0", "file notice", [40, 16, 42]),
+    ("LGPL-3.0", "grant", [40]),
+    ("AGPL-3.0", "file notice", [43, 16, 44]),
+    ("AGPL-3.0", "grant", [43]),
+    ("CC-BY-SA-4.0", "reference", [45]),
+    ("CC-BY-SA-4.0", "reference", [46]),
+    ("CC0-1.0", "reference", [47]),
+    ("BSD-2-Clause", "identifier", [48]),
+    ("ISC", "identifier", [49]),
+    ("MPL-2.0", "identifier", [50]),
+    ("GPL-2.0", "identifier", [51]),
+    ("LGPL-2.1", "identifier", [52]),
+    ("LGPL-3.0", "identifier", [53]),
+    ("AGPL-3.0", "identifier", [54]),
+    ("CC0-1.0", "identifier", [55]),
 ]
 #: A piece ends at a line break, or at . ! ? ; before white space or the end. Sentences go on beyond line breaks and ;
 #: which stands inside some and before commented lines; the rest of the ends is for certain.
 FULL_STOPS = r"(?<![.!?;]);*+[.!?][.!?;]*+(?:\s+|\z)"
 OTHER_ENDS = r"(?<!;);++(?:\s+|\z)|\n+"
+#: Words of a stretch that are compared together.
+BLOCK = 256
 
 
 def normal(sentence: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(sentence, "[^A-Za-z0-9]+", " ")))
 
 
-def known_sentences(spark: SparkSession, sentences: list[str] = SENTENCES) -> DataFrame:
-    return spark.createDataFrame([(s, i + 1) for i, s in enumerate(sentences)], "sentence string, sid int")
+def known_sentences(spark: SparkSession, sentences: list[str] | DataFrame = SENTENCES) -> DataFrame:
+    """(sid, w): the words of each known sentence. A table of (sid, sentence) is taken as it is, a list is numbered from 1."""
+    if not isinstance(sentences, DataFrame):
+        sentences = spark.createDataFrame([(i + 1, s) for i, s in enumerate(sentences)], "sid int, sentence string")
+    return sentences.select("sid", F.split(normal(F.col("sentence")), " ").alias("w"))
+
+
+def known_rules(spark: SparkSession, rules: list[tuple] | DataFrame = RULES) -> DataFrame:
+    """(no, licence, rule, sids) of a table or list of (licence, rule, sids)."""
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([tuple(r) for r in rules], "licence string, rule string, sids array<int>")
+    return rules.select(F.monotonically_increasing_id().alias("no"), "licence", "rule", "sids").filter(F.size("sids") > 0)
+
+
+def first_words(known: DataFrame) -> DataFrame:
+    """(h, sid): a hash of each run of a known sentence's first words."""
+    runs = known.select("sid", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("n"))
+    return runs.select(F.xxhash64(F.array_join(F.slice("w", 1, F.col("n")), " ")).alias("h"), "sid")
+
+
+def line_forms(text: Column) -> Column:
+    """The normal forms of all pieces of a text, without telling its sentences apart."""
+    flat = F.regexp_replace(F.regexp_replace(text, f"{FULL_STOPS}|{OTHER_ENDS}", "\n"), "[^A-Za-z0-9\n]+", " ")
+    return F.split(F.lower(flat), " ?\n[ \n]*")
 
 
-def sentence_parts(known: DataFrame) -> DataFrame:
-    """(part, sid, a, b, n): every run of words a to b (from 0, b beyond) of each known sentence of n words."""
-    words = known.select("sid", F.split("sentence", " ").alias("w")).withColumn("n", F.size("w"))
-    begun = words.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("a"))
-    ended = begun.select("*", F.explode(F.sequence(F.col("a") + 1, "n")).alias("b"))
-    return ended.select(F.array_join(F.slice("w", F.col("a") + 1, F.col("b") - F.col("a")), " ").alias("part"), "sid", "a", "b", "n")
+def outer(rows: DataFrame, start: str, end: str) -> DataFrame:
+    """The rows whose stretch does not lie inside a longer one of the same ``rid``."""
+    by = Window.partitionBy("rid").orderBy(start)
+    before = F.max(end).over(by.rangeBetween(Window.unboundedPreceding, -1))
+    upto = F.max(end).over(by.rangeBetween(Window.unboundedPreceding, 0))
+    marked = rows.withColumn("_in", (F.coalesce(before, F.lit(-1)) >= F.col(end)) | (upto > F.col(end)))
+    return marked.filter("NOT _in").drop("_in")
+
+
+def _sentences_in(found: DataFrame, known: DataFrame, runs: DataFrame) -> DataFrame:
+    """(rid, id, sid, at, end): where known sentences stand, in pieces, for texts of (rid, id, text)."""
+    pieces = F.flatten(
+        F.transform(
+            F.split("text", FULL_STOPS, -1),
+            lambda s, k: F.transform(F.split(s, OTHER_ENDS, -1), lambda p: F.struct(k.alias("k"), normal(p).alias("part"))),
+        )
+    )
+    cut = found.select("rid", "id", F.posexplode(pieces).alias("at", "x")).filter("x.part != ''")
+    cut = cut.select("rid", "id", "at", "x.k", "x.part", F.size(F.split("x.part", " ")).alias("size"))
+    before = Window.partitionBy("rid", "k").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut.withColumn("word", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("int"))
+    begun = placed.withColumn("h", F.xxhash64("part")).join(runs, "h").select("rid", "k", F.col("word").alias("begin"), "sid")
+    begun = begun.join(known, "sid").withColumn("n", F.size("w"))
+    # a piece is compared with the sentences begun in its block of words or in those just before it
+    block = lambda word: F.floor(word / BLOCK)
+    begun = begun.withColumn("block", F.explode(F.sequence(block(F.col("begin")), block(F.col("begin") + F.col("n") - 1))))
+    there = placed.withColumn("block", block(F.col("word"))).join(begun, ["rid", "k", "block"])
+    there = there.filter("word >= begin AND word + size <= begin + n")
+    there = there.filter(F.array_join(F.slice("w", F.col("word") - F.col("begin") + 1, F.col("size")), " ") == F.col("part"))
+    filled = there.groupBy("rid", "k", "begin", "sid").agg(
+        F.first("id").alias("id"), F.first("n").alias("n"), F.sum("size").alias("filled"),
+        F.min("at").alias("at"), F.max("at").alias("end"),
+    )
+    return outer(filled.filter("filled = n").select("rid", "id", "sid", "at", "end"), "at", "end")
 
 
 def licences(
     docs: DataFrame,
-    sentences: list[str] = SENTENCES,
-    rules: list[tuple] = RULES,
+    sentences: list[str] | DataFrame = SENTENCES,
+    rules: list[tuple] | DataFrame = RULES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    small: int = 2_000_000,
 ) -> DataFrame:
     """One row per rule found in a row of docs: id, ``licence``, ``rule``, ``first`` and ``last`` piece (from 0).
 
@@ -111,92 +218,39 @@ def licences(
     matches where its identifiers follow one another among the document's known sentences, whatever unknown ones
     stand between. A match inside a longer one is left out; each occurrence counts. Null or empty texts and empty
     tables give no rows, null ids are kept, rows equal in id and text report alike, other columns are not read.
-    Texts of any length are searched whole.
+    Texts of any length are searched whole. Sentences and rules are lists, or tables of (sid, sentence) and of
+    (licence, rule, sids); a rule without identifiers matches nothing. ``small`` bounds the rows that are broadcast.
     """
-    spark = docs.sparkSession
-    numbered = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("rid")
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licences")
+    known = scratch.store(known_sentences(spark, sentences), "known")
+    runs = scratch.store(first_words(known), "runs")
+    known_rule = scratch.store(known_rules(spark, rules), "rules")
+    # texts are named by hash for the scan alone, so that it need not give them back; a clash lets one more in
+    texts = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th")
+    ).filter("text != ''")
+    forms = texts.select("th", F.explode(line_forms(F.col("text"))).alias("part"))
+    begun = forms.select("th", F.xxhash64(F.trim("part")).alias("h")).join(
+        broadcast_if_small(runs.select("h").distinct(), small), "h", "left_semi"
     )
-    # the pieces of a known sentence make it up in the normal form of the whole too, so nothing else has any
-    holds = lambda text: F.exists(  # noqa: E731  an array of one, so that the normal form is computed once
-        F.array(normal(text)), lambda whole: reduce(or_, [F.contains(whole, F.lit(s)) for s in sentences], F.lit(False))
-    )
-    # that form is dear, so texts without some sentence's three longest words are left out first
-    longest_words = [sorted(set(s.split()), key=lambda w: (-len(w), w))[:3] for s in sentences]
-    may = F.exists(
-        F.array(F.lower("text")),
-        lambda low: reduce(
-            or_, [reduce(and_, [F.contains(low, F.lit(w)) for w in some], F.lit(True)) for some in longest_words], F.lit(False)
-        ),
-    )
-    stretches = F.transform(
-        F.split("text", FULL_STOPS, -1), lambda s, k: F.struct(s.alias("s"), k.alias("k"), holds(s).alias("holds"))
-    )
-    pieces = F.flatten(
-        F.transform(
-            stretches,
-            lambda s: F.transform(
-                F.split(s["s"], OTHER_ENDS, -1),
-                lambda p: F.struct(s["k"].alias("k"), s["holds"].alias("holds"), normal(p).alias("part")),
-            ),
-        )
-    )
-    cut = (
-        numbered.filter(may).filter(holds(F.col("text"))).select("id", "rid", F.posexplode(pieces).alias("at", "x"))
-        .filter("x.holds AND x.part != ''").select("id", "rid", "at", "x.k", "x.part")
-    )
-    before = Window.partitionBy("rid", "k").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    size = F.size(F.split("part", " "))
-    placed = cut.withColumn("word", F.coalesce(F.sum(size).over(before), F.lit(0)))
-    # the known sentences are a fixed table, so their parts' size doesn't follow the input
-    parts = placed.join(F.broadcast(sentence_parts(known_sentences(spark, sentences))), "part")
-    # pieces that belong to one place of a sentence agree in the word where it would begin; together they must fill it
-    known = (
-        parts.groupBy("rid", "k", "sid", (F.col("word") - F.col("a")).alias("begin"))
-        .agg(
-            F.first("id").alias("id"), F.first("n").alias("n"), F.sum(F.col("b") - F.col("a")).alias("filled"),
-            F.min("at").alias("at"), F.max("at").alias("end"),
-        )
-        .filter("filled = n")
-    )
-    seen = known.groupBy("rid").agg(
-        F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("at", "sid", "end"))).alias("seen")
-    )
-    seen = seen.withColumn("long", F.filter("seen", lambda s: s["end"] > s["at"])).withColumn(
-        "seen",
-        F.filter(
-            "seen",
-            lambda s: ~F.exists(
-                "long",
-                lambda l: (l["at"] <= s["at"]) & (l["end"] >= s["end"]) & (l["end"] - l["at"] > s["end"] - s["at"]),
-            ),
-        ),
-    )
-    seen = seen.withColumn("sids", F.transform("seen", lambda s: s["sid"]))
-    table = F.array(
-        *[
-            F.struct(F.lit(a).alias("licence"), F.lit(b).alias("rule"), F.array(*map(F.lit, c)).alias("sids"))
-            for a, b, c in rules
-        ]
-    )
-
-    def starts(rule):
-        n = F.size(rule["sids"])
-        at = F.when(F.size("sids") >= n, F.sequence(F.lit(1), F.size("sids") - n + 1)).otherwise(F.array().cast("array<int>"))
-        found = F.filter(at, lambda i: F.slice("sids", i, n) == rule["sids"])
-        return F.transform(
-            found, lambda i: F.struct(rule["licence"].alias("licence"), rule["rule"].alias("rule"), i.alias("a"), (i + n - 1).alias("b"))
-        )
+    begun = scratch.store(begun.select("th").distinct(), "begun")
+    found = texts.join(broadcast_if_small(begun, small), "th", "left_semi").withColumn("rid", F.monotonically_increasing_id())
+    found = scratch.store(found.select("rid", "id", "text"), "found")
+    by = Window.partitionBy("rid").orderBy("at", "sid", "end")
+    numbered = _sentences_in(found, known, runs).withColumn("i", F.row_number().over(by))
+    seen = scratch.store(numbered, "seen")
+    scratch.drop("known", "runs", "begun", "found")
 
-    found = seen.withColumn("found", F.flatten(F.transform(table, starts)))
-    longest = F.filter(
-        "found",
-        lambda x: ~F.exists(
-            "found", lambda y: (y["a"] <= x["a"]) & (y["b"] >= x["b"]) & (y["b"] - y["a"] > x["b"] - x["a"])
-        ),
+    # a rule is tried where its first sentence stands, and asks for one sentence at each place from there on
+    tried = seen.select("rid", F.col("i").alias("a"), "sid").join(known_rule.withColumn("sid", F.get("sids", F.lit(0))), "sid")
+    asked = tried.select("rid", "a", "no", "licence", "rule", F.size("sids").alias("n"), F.posexplode("sids").alias("j", "sid"))
+    met = asked.withColumn("i", F.col("a") + F.col("j")).join(seen, ["rid", "i", "sid"])
+    matches = met.groupBy("rid", "a", "no").agg(
+        F.first("id").alias("id"), F.first("licence").alias("licence"), F.first("rule").alias("rule"), F.first("n").alias("n"),
+        F.count("*").alias("c"), F.min(F.struct("j", "at")).alias("from"), F.max(F.struct("j", "end")).alias("to"),
     )
-    rows = found.select("id", "seen", F.explode(longest).alias("x"))
-    at = lambda place, side: F.get("seen", F.col(place) - 1)[side].cast("long")
-    return rows.select(
-        F.col("id").alias(id_col), "x.licence", "x.rule", at("x.a", "at").alias("first"), at("x.b", "end").alias("last")
+    matches = outer(matches.filter("c = n").withColumn("b", F.col("a") + F.col("n") - 1), "a", "b")
+    return matches.select(
+        F.col("id").alias(id_col), "licence", "rule",
+        F.col("from.at").cast("long").alias("first"), F.col("to.end").cast("long").alias("last"),
     )
