@@ -7,10 +7,11 @@ column and often commented out. The identifiers of a document in order are
 matched against rules, which are ordered identifier sequences.
 
 Sentences and rules are tables of any length, joined by hash and by identifier;
-the plan is the same for thirty and for thirty thousand. A sentence must begin
-with a piece that is a run of its first words, so one hash for each such run is
-all that the scan is joined with. Texts with such a piece are stored, and only
-there the rest of the sentence is looked for, word by word and exactly.
+the plan is the same for thirty and for thirty thousand. A sentence is a piece,
+or begins with two pieces that are a run of its first words, so one hash for
+each such run is all that the scan is joined with. Texts with such a beginning
+are stored, and there the rest of the sentence is looked for, word by word and
+exactly, among the pieces up to the next full stop.
 """
 
 from __future__ import annotations
@@ -155,16 +156,32 @@ def known_rules(spark: SparkSession, rules: list[tuple] | DataFrame = RULES) ->
     return rules.select(F.monotonically_increasing_id().alias("no"), "licence", "rule", "sids").filter(F.size("sids") > 0)
 
 
-def first_words(known: DataFrame) -> DataFrame:
-    """(h, sid): a hash of each run of a known sentence's first words."""
-    runs = known.select("sid", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("n"))
-    return runs.select(F.xxhash64(F.array_join(F.slice("w", 1, F.col("n")), " ")).alias("h"), "sid")
+def beginnings(known: DataFrame) -> DataFrame:
+    """(h, sid): hashes by which the first piece of a known sentence is found, see ``heads``."""
+    words = lambda n: F.array_join(F.slice("w", 1, n), " ")
+    runs = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(2), F.size("w")), lambda n: F.xxhash64(words(n))))
+    hashes = F.concat(F.array(whole_head(words(F.size("w")))), F.coalesce(runs, F.array().cast("array<bigint>")))
+    return known.select(F.explode(hashes).alias("h"), "sid")
+
+
+def whole_head(part: Column) -> Column:
+    return F.xxhash64(part, F.lit("."))
+
+
+def heads(part: Column, following: Column) -> list[Column]:
+    """A sentence is its first piece, or the first two begin it: one hash for each case, the latter null without a second."""
+    return [whole_head(part), F.when(following.isNotNull(), F.xxhash64(F.concat(part, F.lit(" "), following)))]
+
+
+def with_following(pieces: str) -> Column:
+    """Each entry of an array column, as ``x``, with the one after it, as ``y``."""
+    return F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(pieces)), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
 
 
 def line_forms(text: Column) -> Column:
     """The normal forms of all pieces of a text, without telling its sentences apart."""
     flat = F.regexp_replace(F.regexp_replace(text, f"{FULL_STOPS}|{OTHER_ENDS}", "\n"), "[^A-Za-z0-9\n]+", " ")
-    return F.split(F.lower(flat), " ?\n[ \n]*")
+    return F.filter(F.split(F.lower(F.trim(flat)), " ?\n[ \n]*"), lambda p: p != "")
 
 
 def outer(rows: DataFrame, start: str, end: str) -> DataFrame:
@@ -176,7 +193,7 @@ def outer(rows: DataFrame, start: str, end: str) -> DataFrame:
     return marked.filter("NOT _in").drop("_in")
 
 
-def _sentences_in(found: DataFrame, known: DataFrame, runs: DataFrame) -> DataFrame:
+def _sentences_in(found: DataFrame, known: DataFrame, runs: DataFrame, scratch: Scratch, small: int) -> DataFrame:
     """(rid, id, sid, at, end): where known sentences stand, in pieces, for texts of (rid, id, text)."""
     pieces = F.flatten(
         F.transform(
@@ -184,11 +201,19 @@ def _sentences_in(found: DataFrame, known: DataFrame, runs: DataFrame) -> DataFr
             lambda s, k: F.transform(F.split(s, OTHER_ENDS, -1), lambda p: F.struct(k.alias("k"), normal(p).alias("part"))),
         )
     )
-    cut = found.select("rid", "id", F.posexplode(pieces).alias("at", "x")).filter("x.part != ''")
-    cut = cut.select("rid", "id", "at", "x.k", "x.part", F.size(F.split("x.part", " ")).alias("size"))
+    pieces = F.transform(pieces, lambda p, at: F.struct(at.alias("at"), p["k"].alias("k"), p["part"].alias("part")))
+    cut = found.select("rid", "id", F.filter(pieces, lambda p: p["part"] != "").alias("pieces"))
+    cut = cut.select("rid", "id", F.explode(with_following("pieces")).alias("p")).select(
+        "rid", "id", "p.x.*", F.when(F.col("p.y.k") == F.col("p.x.k"), F.col("p.y.part")).alias("following")
+    )
+    head = F.explode(F.array(*heads(F.col("part"), F.col("following")))).alias("h")
+    starts = cut.select("rid", "k", "at", head).join(broadcast_if_small(runs, small), "h")
+    starts = scratch.store(starts.select("rid", "k", "at", "sid").distinct(), "starts")
+    within = broadcast_if_small(starts.select("rid", "k").distinct(), small)
+    cut = cut.select("rid", "id", "k", "at", "part", F.size(F.split("part", " ")).alias("size")).join(within, ["rid", "k"], "left_semi")
     before = Window.partitionBy("rid", "k").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     placed = cut.withColumn("word", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("int"))
-    begun = placed.withColumn("h", F.xxhash64("part")).join(runs, "h").select("rid", "k", F.col("word").alias("begin"), "sid")
+    begun = placed.select("rid", "k", "at", F.col("word").alias("begin")).join(starts, ["rid", "k", "at"]).drop("at")
     begun = begun.join(known, "sid").withColumn("n", F.size("w"))
     # a piece is compared with the sentences begun in its block of words or in those just before it
     block = lambda word: F.floor(word / BLOCK)
@@ -223,23 +248,22 @@ def licences(
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licences")
     known = scratch.store(known_sentences(spark, sentences), "known")
-    runs = scratch.store(first_words(known), "runs")
+    runs = scratch.store(beginnings(known), "runs")
     known_rule = scratch.store(known_rules(spark, rules), "rules")
     # texts are named by hash for the scan alone, so that it need not give them back; a clash lets one more in
     texts = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th")
     ).filter("text != ''")
-    forms = texts.select("th", F.explode(line_forms(F.col("text"))).alias("part"))
-    begun = forms.select("th", F.xxhash64(F.trim("part")).alias("h")).join(
-        broadcast_if_small(runs.select("h").distinct(), small), "h", "left_semi"
-    )
+    forms = texts.select("th", line_forms(F.col("text")).alias("parts")).select("th", F.explode(with_following("parts")).alias("p"))
+    hashed = forms.select("th", F.explode(F.array(*heads(F.col("p.x"), F.col("p.y")))).alias("h"))
+    begun = hashed.join(broadcast_if_small(runs.select("h").distinct(), small), "h", "left_semi")
     begun = scratch.store(begun.select("th").distinct(), "begun")
     found = texts.join(broadcast_if_small(begun, small), "th", "left_semi").withColumn("rid", F.monotonically_increasing_id())
     found = scratch.store(found.select("rid", "id", "text"), "found")
     by = Window.partitionBy("rid").orderBy("at", "sid", "end")
-    numbered = _sentences_in(found, known, runs).withColumn("i", F.row_number().over(by))
+    numbered = _sentences_in(found, known, runs, scratch, small).withColumn("i", F.row_number().over(by))
     seen = scratch.store(numbered, "seen")
-    scratch.drop("known", "runs", "begun", "found")
+    scratch.drop("known", "runs", "begun", "found", "starts")
 
     # a rule is tried where its first sentence stands, and asks for one sentence at each place from there on
     tried = seen.select("rid", F.col("i").alias("a"), "sid").join(known_rule.withColumn("sid", F.get("sids", F.lit(0))), "sid")
