@@ -9,6 +9,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tillstone.llm import pii
 from tillstone.llm.pii import KINDS, SemiMarkov, _covered, _gold, base_spans, lattice, luhn, personal_data, pii_model, train
 from tillstone.llm.queries import QUERIES
 
@@ -131,6 +132,18 @@ def test_trains_on_all_stretches_of_the_sample(spark, monkeypatch):
     assert {KINDS[k] for k in learned} == {"email", "ip", "card"}
 
 
+def test_training_takes_no_more_letters_than_it_may(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(pii, "train", lambda texts, stretches=None: taken.append(texts))
+    rows = [(i, f"call {i}234567 now") for i in range(40)] + [(99, " ".join("55 66" for _ in range(5000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pii_model(docs)
+    pii_model(docs, letters=200)
+    pii_model(docs, letters=0)
+    assert [len(t) for t in taken][::2] == [41, 0]
+    assert 5 < len(taken[1]) < 40 and sum(map(len, taken[1])) <= 200 and set(taken[1]) < set(taken[0])
+
+
 def _field():
     rng = np.random.default_rng(2)
     return train([" ".join(rng.choice(SEEDS, 3)) for _ in range(60)])

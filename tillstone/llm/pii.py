@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.llm.common import parts
+from tillstone.llm.common import Scratch, parts
 
 # Kinds in order of listing and the parts of their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -314,18 +314,29 @@ def train(
 
 
 def pii_model(
-    docs: DataFrame, sample: int = 2_000, id_col: str = "doc_id", text_col: str = "text", stretches: int | None = None
+    docs: DataFrame, sample: int = 2_000, id_col: str = "doc_id", text_col: str = "text", stretches: int | None = None,
+    letters: int = 20_000_000,
 ) -> SemiMarkov:
     """A field from at most ``sample`` documents with a digit or an at sign: those with the least hash of id and text.
 
-    It learns from all stretches of these, or from the first ``stretches``.
+    It learns from all stretches of these, or from the first ``stretches``. At most ``letters`` characters come to the
+    driver: a document whose stretches go beyond what the ones before it in order of hash have left is not learned from.
     """
     marked = docs.filter(F.col(text_col).rlike("[0-9@]")).withColumn("_h", F.xxhash64(id_col, text_col))
     last = marked.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
     # only the stretches and a little before them come to the driver, in runs of at most 12 parts
     near = F.regexp_extract_all(text_col, F.lit(r"(?:\S+\s)?\S*[0-9@]\S*(?: \S*[0-9@]\S*){0,11}"), F.lit(0))
     some = marked.filter(F.col("_h") <= last) if last is not None else marked.limit(0)
-    rows = some.select(F.col("_h").alias("h"), F.concat_ws("\n", near).alias("text")).distinct().collect()
+    scratch = Scratch(docs.sparkSession, "field")
+    stored = scratch.store(some.select(F.col("_h").alias("h"), F.concat_ws("\n", near).alias("text")).distinct(), "rows")
+    beyond = []
+    for h, n in sorted(stored.select("h", F.length("text")).collect()):
+        if n <= letters:
+            letters -= n
+        else:
+            beyond.append(h)
+    rows = stored.filter(~F.col("h").isin(beyond)).collect()
+    scratch.drop("rows")
     return train([r.text for r in sorted(rows, key=lambda r: (r.h, r.text))], stretches)
 
 
