@@ -5,6 +5,7 @@ import hashlib
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tillstone.llm import exact_dedup
 from tillstone.llm.exact_dedup import PatriciaTrie, patricia_dedup, without_copies
 
 SCHEMA = "doc_id long, text string, kept string, _key int"
@@ -62,3 +63,29 @@ def test_kept_rows_are_whole(spark):
 
 def test_empty_table(spark):
     assert patricia_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_texts_of_many_batches_pass_through_a_level_more(spark, conf):
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="4")
+    rows = [(i, ("hot copy", "hot  copy ", "", None, f"own text {i}")[i % 5]) for i in range(400)]
+    rows += [(None, "hot copy"), (7, "hot\tcopy"), (1000, "hot copy  é"), (5, "x" * 100_000), (6, "x" * 100_000)]
+    df = spark.createDataFrame([(a, b, "k", 1) for a, b in rows], SCHEMA).repartition(8)
+    for often in (1, 10, 1000):
+        got = patricia_dedup(df, often=often, small=0 if often == 1 else 10).collect()
+        assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got], key=str) == brute(rows)
+        assert sum(r.kept for r in got) == len({r.text_sha256 for r in got})
+        assert all(r.text is not None or not r.kept or r.doc_id % 5 == 3 for r in got)
+
+
+def test_no_owner_sees_all_rows_of_a_text_of_many_batches(spark, conf, monkeypatch):
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="2", spark__sql__shuffle__partitions="100")
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    tables = {}
+    store = exact_dedup.Scratch.store
+    monkeypatch.setattr(exact_dedup.Scratch, "store", lambda self, df, name: tables.setdefault(name, store(self, df, name)))
+    df = spark.range(800).selectExpr("id AS doc_id", "'the same text' AS text").repartition(8)
+    assert {r.group_size for r in patricia_dedup(df).select("group_size").distinct().collect()} == {800}
+    batches = tables["local"].filter("_n > 0").count()
+    passed = tables["halfway"].filter("_n > 0").count()
+    most = tables["halfway"].groupBy("_via").count().agg({"count": "max"}).first()[0]
+    assert batches >= 400 and passed <= 1 + batches**0.5 and most < 3 * batches**0.5

@@ -6,6 +6,9 @@ leaves a batch as a single row. These rows are partitioned by length and
 content hash; the owner of a partition inserts the full byte strings into its
 own trie. A terminal node holds the best row (most code points, then smallest
 id) and the rows seen. Equality is decided by the trie, never by the hash.
+A hash that comes from many batches is first dealt to about as many owners as
+the root of their number, each of which passes on one row per text: neither
+these nor the last owner see more than about that root of the text's copies.
 A trie beyond its byte budget spills its largest subtree to an unnamed local
 file and works it off afterwards; a retried task simply reads its shuffle input again.
 """
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tillstone.llm.common import Scratch, numbered_columns
+from tillstone.llm.common import Scratch, broadcast_if_small, numbered_columns
 
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -182,16 +185,45 @@ def _local(id_col: str, text_col: str):
     return run
 
 
+def _grown(batches, id_col: str, text_col: str, budget: int) -> PatriciaTrie:
+    """A trie of all texts of a task, whose rows are (points, id, key, rows stood for)."""
+    trie = PatriciaTrie(budget)
+    for batch in batches:
+        text = pc.fill_null(batch.column(text_col).cast(pa.large_string()), "").cast(pa.large_binary())
+        rows = zip(*(batch.column(c).to_pylist() for c in ("_points", id_col, "_key", "_n")))
+        for data, row in zip(text.to_pylist(), rows):
+            trie.insert(data.translate(None, WHITE), [row])
+    return trie
+
+
+def _halfway(id_col: str, text_col: str, id_type: pa.DataType, budget: int):
+    """Of each text of a task its best row, for all rows it stands for; of the others the key and the best row's."""
+    kinds = {"_key": pa.int64(), "_via": pa.int64(), "_n": pa.int64(), "_points": pa.int64(), id_col: id_type, text_col: pa.binary()}
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(kinds), kinds.values())]
+        columns[-1] = columns[-1].view(pa.string())
+        return pa.RecordBatch.from_arrays(columns, names=list(kinds))
+
+    def run(batches):
+        out, size = [], 0
+        for data, rows in _grown(batches, id_col, text_col, budget).texts():
+            best = min(rows, key=_rank)
+            out.append((best[2], best[2], sum(r[3] for r in rows), best[0], best[1], data))
+            out.extend((r[2], best[2], 0, r[0], r[1], None) for r in rows if r is not best)
+            size += len(data)
+            if len(out) >= 20_000 or size >= 16 << 20:
+                yield made(out)
+                out, size = [], 0
+        yield made(out)
+
+    return run
+
+
 def _owners(id_col: str, text_col: str, id_type: pa.DataType, budget: int):
     def run(batches):
-        trie = PatriciaTrie(budget)
-        for batch in batches:
-            text = pc.fill_null(batch.column(text_col).cast(pa.large_string()), "").cast(pa.large_binary())
-            rows = zip(*(batch.column(c).to_pylist() for c in ("_points", id_col, "_key", "_n")))
-            for data, row in zip(text.to_pylist(), rows):
-                trie.insert(data.translate(None, WHITE), [row])
         out: list[tuple] = []
-        for data, rows in trie.texts():
+        for data, rows in _grown(batches, id_col, text_col, budget).texts():
             best, total = min(rows, key=_rank), sum(r[3] for r in rows)
             digest = hashlib.sha256(data).hexdigest()
             out.extend((r[2], best[1], total, best[2], digest) for r in rows)
@@ -209,23 +241,33 @@ def _owned(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], names=list(kinds))
 
 
+def _hot(single: DataFrame, often: int, scratch: Scratch) -> DataFrame:
+    """(_size, _hash, _salts) of texts that stand in more than ``often`` rows of single."""
+    counts = single.groupBy("_size", "_hash").agg(F.count("*").alias("c")).filter(F.col("c") > often)
+    return scratch.store(counts.select("_size", "_hash", F.ceil(F.sqrt("c")).alias("_salts")), "hot")
+
+
 def patricia_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 64 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 64 << 20, often: int = 64,
+    small: int = 500_000,
 ) -> DataFrame:
     """Every row of docs with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
 
     Texts are equal when their bytes are, after all ASCII white space is deleted. Other columns are kept; the
     text itself stays on kept rows and is null on most dropped ones. Null text counts as empty, null ids lose
     ties, rows with equal id and text are told apart by position so that exactly one stays, an empty table
-    gives no rows, and a column of docs that has the name of a result column is left out.
+    gives no rows, and a column of docs that has the name of a result column is left out. A text that stands in more
+    than ``often`` batches passes through a level of owners more, with the same result; ``small`` bounds the rows of
+    the table of such texts that is broadcast. A task holds ``budget`` bytes of text, and its longest text whole.
     """
     spark = docs.sparkSession
     taken = {"keep_id", "group_size", "kept", "text_sha256", "_key", "_rep", "_n", "_points", "_size", "_hash", "_win"}
     docs = docs.select(*[c for c in docs.columns if c not in taken])
     scratch = Scratch(spark, "trie")
+    fields = [T.StructField(f.name, f.dataType) for f in docs.schema.fields]  # all nullable: dropped rows lose their text
     added = [T.StructField(c, T.LongType()) for c in ("_key", "_rep", "_n", "_points", "_size", "_hash")]
     local = scratch.store(
-        docs.mapInArrow(_local(id_col, text_col), T.StructType([*docs.schema.fields, *added])), "local"
+        docs.mapInArrow(_local(id_col, text_col), T.StructType([*fields, *added])), "local"
     )
     id_type = docs.schema[id_col].dataType
     owners_schema = T.StructType(
@@ -237,12 +279,32 @@ def patricia_dedup(
             T.StructField("text_sha256", T.StringType()),
         ]
     )
-    owners = (
-        local.filter("_n > 0")
-        .select("_key", "_n", "_points", id_col, text_col, "_size", "_hash")
-        .repartition("_size", "_hash")
-        .mapInArrow(_owners(id_col, text_col, to_arrow_type(id_type), budget), owners_schema)
-    )
+    arrow_id = to_arrow_type(id_type)
+
+    def owned(rows: DataFrame) -> DataFrame:
+        return rows.repartition("_size", "_hash").mapInArrow(_owners(id_col, text_col, arrow_id, budget), owners_schema)
+
+    single = local.filter("_n > 0").select("_key", "_n", "_points", id_col, text_col, "_size", "_hash")
+    hot = _hot(single, often, scratch)
+    if not hot.limit(1).count():
+        owners = owned(single)
+    else:
+        hot = broadcast_if_small(hot, small)
+        passed = T.StructType(
+            [*[T.StructField(c, T.LongType()) for c in ("_key", "_via", "_n", "_points")], local.schema[id_col], local.schema[text_col]]
+        )
+        dealt = single.join(hot, ["_size", "_hash"]).repartition("_size", "_hash", F.pmod(F.xxhash64("_key"), "_salts"))
+        halfway = scratch.store(
+            dealt.select("_key", "_n", "_points", id_col, text_col)
+            .mapInArrow(_halfway(id_col, text_col, arrow_id, budget), passed),
+            "halfway",
+        )
+        # the row that stands for others still has the size and hash that it brought
+        best = halfway.filter("_n > 0").drop("_via").join(single.select("_key", "_size", "_hash"), "_key")
+        rare = single.join(hot, ["_size", "_hash"], "left_anti")
+        found = scratch.store(owned(rare.unionByName(best)), "owners")
+        stood_for = halfway.filter("_n = 0").select(F.col("_key").alias("_rep"), "_via")
+        owners = found.unionByName(stood_for.join(found.withColumnRenamed("_rep", "_via"), "_via").drop("_via"))
     return (
         local.join(owners, "_rep")
         .withColumn("kept", F.col("_key") == F.col("_win"))
