@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 
+from tillstone.llm import toxicity
 from tillstone.llm.toxicity import Evidence, Network, Options, scored, toxicity_model, train, without_toxic
 
 CLEAN = "the stone river walks under bright morning clouds and green hills carry quiet songs über été".split()
@@ -85,3 +87,25 @@ def test_odd_rows(spark):
 def test_word_counts_come_in_an_order_that_no_process_changes():
     words = [f"w{i}" for i in range(50)]
     assert list(Evidence([" ".join(reversed(words))], [0]).words[0]) == sorted(words)
+
+
+def test_training_takes_no_more_rows_and_letters_than_it_may(spark, monkeypatch):
+    taken = []
+
+    def kept(texts, labels, options):
+        taken.append(sorted(zip(texts, labels)))
+        return train([], [])
+
+    monkeypatch.setattr(toxicity, "train", kept)
+    rows = [(i, f"text number {i:03}") for i in range(200)] + [(5, f"another text {i} of the same id") for i in range(300)]
+    rows += [(7, "text number 007"), (8, "long " * 50_000), (9, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    options = (Options(), Options(sample=60), Options(letters=1000), Options(letters=0))
+    for o in options:
+        toxicity.toxicity_model(docs, marks, options=o)
+    every = {(t or "", i % 2) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(taken[0]) == every and len(taken[0]) == len(every)
+    for got, o in zip(taken, options):
+        assert len(got) <= o.sample and sum(len(t) for t, _ in got) <= o.letters and set(got) <= every
+    assert 20 < len(taken[2]) and not any(t for t, _ in taken[3])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.llm.common import in_fold, numbered_columns
-from tillstone.llm.learning import training_sample, with_scores
+from tillstone.llm.learning import brought_within, labelled_rows, with_scores
 
 WORD = re.compile(r"[^\W_]+")
 GRAMS = 4096
@@ -38,6 +38,7 @@ class Options:
     stride: int = 16
     vocabulary: int = 4000
     sample: int = 4000
+    letters: int = 20_000_000  # of the sampled texts together
     rounds: int = 4
     passes: int = 3
     rate: float = 0.02
@@ -278,10 +279,11 @@ def toxicity_model(
     """A network from at most ``options.sample`` labelled rows whose id hash isn't in the held-out fold.
 
     Rows with a null id or a label other than 0 and 1 are not learned from; without both labels every text scores low.
-    The sampled texts come to the driver whole.
+    The sampled texts come to the driver whole, at most ``options.letters`` characters of them: a text beyond what the
+    ones before it in order of hash have left is not learned from.
     """
-    rows = training_sample(docs, labels, "toxic", folds, held_out, options.sample, id_col, text_col).collect()
-    rows = sorted((r.text or "", r.label) for r in rows)
+    rows = labelled_rows(docs, labels, "toxic", folds, held_out, options.sample, id_col, text_col)
+    rows = sorted((r.text, r.label) for r in brought_within(rows, options.sample, options.letters))
     model = train([t for t, _ in rows], [y for _, y in rows], options)
     # the sample holds both labels alike; move the scores to the share that all labelled rows have
     usable = labels.filter(F.col("toxic").isin(0, 1) & ~in_fold(id_col, folds, held_out))
