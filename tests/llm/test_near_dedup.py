@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from tillstone.llm import near_dedup
 from tillstone.llm.common import Scratch
 from tillstone.llm.graph import components
 from tillstone.llm.near_dedup import agreeing, near_duplicates, without_near_copies
@@ -81,6 +82,13 @@ def test_same_without_broadcasts(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
 
 
+def test_same_with_lists_dealt_to_several_tasks(spark):
+    rows = corpus()[::2]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_duplicates(df, longest=2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+
+
 def test_kept_rows_are_whole_and_shared_ids_fall_together(spark):
     rows = [(3, "a b c d e f", "x"), (1, "a b c d e f", None), (3, "other text", "z"), (None, "a b c d e f", "n")]
     got = without_near_copies(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
@@ -120,3 +128,19 @@ def test_built_words_that_sums_modulo_two_to_the_64_confuse_stay_apart(spark):
     rows = [(1, word), (2, other), (3, word + " " + other), (4, other + " " + word), (5, word.upper())]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_a_list_that_all_texts_share_is_dealt_to_several_tasks(spark, monkeypatch):
+    tables = {}
+    store = near_dedup.Scratch.store
+    monkeypatch.setattr(near_dedup.Scratch, "store", lambda self, df, name: tables.setdefault(name, store(self, df, name)))
+    shared = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, f"{shared} end{i}") for i in range(300)] + [(1000, "quite another text of its own here")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), longest=20).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, 0) for i in range(300)} | {(1000, 1000)}
+    lists = tables["postings"].selectExpr("token", "pmod(xxhash64(cid), tasks) AS task").groupBy("token", "task").count()
+    per = {}
+    for r in lists.collect():
+        per.setdefault(r.token, []).append(r["count"])
+    longest = max(per.values(), key=sum)
+    assert sum(longest) > 250 and len(longest) >= 12 and max(longest) < 60

@@ -132,7 +132,12 @@ def _bucket_counts(batches):
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "count"])
 
 
-def _postings(counts, prefix: int):
+def _postings(counts, prefix: int, longest: int):
+    """Each class's rarest (coordinate, value) pairs, with the number of tasks that their list is dealt to.
+
+    A frequency bucket's count is no less than the length of any list in it.
+    """
+
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -141,14 +146,16 @@ def _postings(counts, prefix: int):
             place = np.arange(signature.shape[1], dtype=np.uint64) << np.uint64(32)
             token = (signature.astype(np.uint64) | place).view(np.int64)
             # rarest first; the mixed token breaks ties the same way in every document
-            rank = np.lexsort((mix(token.view(np.uint64)), counts.value[_bucket(signature)]), axis=1)[:, :prefix]
+            common = counts.value[_bucket(signature)]
+            rank = np.lexsort((mix(token.view(np.uint64)), common), axis=1)[:, :prefix]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.take_along_axis(token, rank, 1).ravel()),
                     pa.array(np.repeat(batch.column("cid").to_numpy(), prefix)),
                     pa.array(np.repeat(batch.column("n").to_numpy(), prefix)),
+                    pa.array(-(-np.take_along_axis(common, rank, 1).ravel() // longest)),
                 ],
-                names=["token", "cid", "n"],
+                names=["token", "cid", "n", "tasks"],
             )
 
     return run
@@ -183,7 +190,7 @@ def agreeing(percent: int, coordinates: int) -> int:
 class _Search:
     """The tables of one call and the steps over them."""
 
-    def __init__(self, docs, id_col, text_col, words, percent, coordinates, agree, small):
+    def __init__(self, docs, id_col, text_col, words, percent, coordinates, agree, small, longest):
         self.spark, self.docs = docs.sparkSession, docs
         self.id_col, self.text_col, self.words, self.percent = id_col, text_col, words, percent
         self.agree, self.small = agree, small
@@ -210,8 +217,10 @@ class _Search:
         counts[found["bucket"].to_numpy(np.int64)] = found["count"].to_numpy(np.int64)
         self.postings = self.scratch.store(
             self.classes.select("cid", "n", "sig").mapInArrow(
-                _postings(self.spark.sparkContext.broadcast(counts), coordinates - agree + 1),
-                "token long, cid long, n long",
+                _postings(
+                    self.spark.sparkContext.broadcast(counts), coordinates - agree + 1, max(longest, 4 * int(counts.mean()))
+                ),
+                "token long, cid long, n long, tasks long",
             ),
             "postings",
         )
@@ -221,14 +230,22 @@ class _Search:
         top = F.least("top", "ptop")
         return top * 100 >= (F.col("n") + F.col("pn") - top) * self.percent
 
+    @staticmethod
+    def joined(lists: DataFrame, keyed: DataFrame, how: str = "inner") -> DataFrame:
+        """lists joined with rows keyed by token, a long list in several tasks that get a copy of its row each."""
+        lists = lists.withColumn("task", F.pmod(F.xxhash64("cid"), "tasks"))
+        first = F.lit(0).cast("long")
+        keyed = keyed.withColumn("task", F.explode(F.sequence(first, F.col("tasks") - 1))).drop("tasks")
+        return lists.join(keyed, ["token", "task"], how).drop("task")
+
     def with_pivots(self, lists: DataFrame) -> DataFrame:
         """Each list's rows beside its pivot, the member with the least share of private shingles."""
         best = F.struct(
             (-F.col("top") / F.col("n")).alias("share"), F.xxhash64("cid").alias("h"),
             F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("top").alias("ptop"),
         )
-        pivot = lists.groupBy("token").agg(F.min(best).alias("x"), F.count("*").alias("c")).filter("c > 1")
-        return lists.join(pivot.select("token", "x.p", "x.pn", "x.ptop"), "token")
+        pivot = lists.groupBy("token").agg(F.min(best).alias("x"), F.count("*").alias("c"), F.max("tasks").alias("tasks"))
+        return self.joined(lists, pivot.filter("c > 1").select("token", "tasks", "x.p", "x.pn", "x.ptop"))
 
     def star(self, lists: DataFrame) -> DataFrame:
         """Viable pairs of each list's pivot with its other members."""
@@ -300,11 +317,13 @@ class _Search:
         )
         spread = (
             marked.groupBy("token")
-            .agg(F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .agg(
+                F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("tasks").alias("tasks")
+            )
             .filter("c > 2 AND lo != hi")
-            .select("token")
+            .select("token", "tasks")
         )
-        return self.scratch.store(marked.join(spread, "token", "left_semi"), f"{name}-open")
+        return self.scratch.store(self.joined(marked, spread, "left_semi"), f"{name}-open")
 
     def full_sets(self, cids: DataFrame, name: str) -> DataFrame:
         """(cid, set): whole shingle sets of classes, computed from their texts."""
@@ -341,10 +360,10 @@ class _Search:
         return links
 
 
-def _labelled(docs, id_col, text_col, words, percent, coordinates, agree, small) -> DataFrame:
+def _labelled(docs, id_col, text_col, words, percent, coordinates, agree, small, longest=1024) -> DataFrame:
     """(id, h, n, component, kept) of each row of docs, h the hash of its text; see near_duplicates."""
     agree = agreeing(percent, coordinates) if agree is None else agree
-    search = _Search(docs, id_col, text_col, words, percent, coordinates, agree, small)
+    search = _Search(docs, id_col, text_col, words, percent, coordinates, agree, small, longest)
     links = search.confirm(search.star(search.postings.withColumn("top", F.col("n"))), "star")
     lists = search.open_lists(search.postings, links, "open")
     if lists.limit(1).count():
@@ -377,6 +396,7 @@ def near_duplicates(
     coordinates: int = 32,
     agree: int | None = None,
     small: int = 500_000,
+    longest: int = 1024,
 ) -> DataFrame:
     """One row per row of docs: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -384,12 +404,14 @@ def near_duplicates(
     the union; ``component_id`` is the smallest id reachable. A pair must agree in ``agree`` coordinates, by default
     so many that one at the threshold is missed with a probability of at most 2e-6 and more alike ones with less:
     of 32 it is 16 at 85 percent (6e-7) and 14 at 80 (1.2e-6). Below 35 percent one of 32 is too much to ask for
-    that; take more coordinates there. ``small`` bounds the rows that are broadcast. A text of fewer than ``words``
+    that; take more coordinates there. ``small`` bounds the rows that are broadcast. A list that may have more than
+    ``longest`` members (or, in large tables, four times as many as the mean frequency bucket) is dealt to several
+    tasks, with the same result. A text of fewer than ``words``
     words is one shingle; an empty or null text, or a null id, is linked with nothing and kept. Rows that share an
     id are one document with several texts. An empty table gives no rows and other columns are not read. Needs
     about 60 bytes of memory per byte of the longest text.
     """
-    rows = _labelled(docs, id_col, text_col, words, percent, coordinates, agree, small)
+    rows = _labelled(docs, id_col, text_col, words, percent, coordinates, agree, small, longest)
     return rows.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
