@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
+import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 
@@ -109,3 +113,26 @@ def test_training_takes_no_more_rows_and_letters_than_it_may(spark, monkeypatch)
     for got, o in zip(taken, options):
         assert len(got) <= o.sample and sum(len(t) for t, _ in got) <= o.letters and set(got) <= every
     assert 20 < len(taken[2]) and not any(t for t, _ in taken[3])
+
+
+def test_repeated_words_take_little_memory():
+    net = Network([], np.zeros(0), np.zeros(1), Options())
+    texts = [" ".join(CLEAN) * 250 for _ in range(100)] + ["", "One two one"]
+    tracemalloc.start()
+    try:
+        distinct, codes, sizes = net.encode(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 * len(codes)
+    found = [toxicity.WORD.findall(t.lower()) for t in texts]
+    assert [distinct[c] for c in codes] == [w for ws in found for w in ws] and list(sizes) == list(map(len, found))
+    assert distinct == list(dict.fromkeys(w for ws in found for w in ws))
+    nothing = net.encode([])
+    assert nothing[0] == [] and len(nothing[1]) == len(nothing[2]) == 0
+
+
+def test_a_task_that_scores_needs_no_pandas():
+    """Every Python worker of an executor would hold it."""
+    code = "import sys; from tillstone.llm import toxicity as t; t.train(['a b', 'c'], [0, 1]).scores(['a']); sys.exit('pandas' in sys.modules)"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[2])

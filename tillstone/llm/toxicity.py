@@ -14,11 +14,11 @@ as its example.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,11 +111,15 @@ class Network:
         self.w |= {"att": draw(2 * d, d), "att_v": draw(d), "out": draw(2 * d), "out_b": np.full(1, -2, np.float32)}
 
     def encode(self, texts: list[str]):
-        """Distinct words of all texts, each text's word numbers in one array, and the numbers of words."""
-        found = [WORD.findall(t.lower()) for t in texts]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        codes, distinct = pd.factorize(np.array([w for ws in found for w in ws], dtype=object))
-        return list(distinct), codes.astype(np.int64), sizes
+        """Distinct words of all texts, each text's word numbers in one array, and the numbers of words.
+
+        Words are numbered as they first appear. Of repeated words only the numbers are held.
+        """
+        seen, codes = defaultdict(count().__next__), []
+        for text in texts:
+            codes.append(np.fromiter((seen[m.group()] for m in WORD.finditer(text.lower())), np.int64))
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+        return list(seen), np.concatenate([*codes, np.zeros(0, np.int64)]), sizes
 
     def windows(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers (-1 beyond the end) of every window, and each window's text. A text without words has one."""
