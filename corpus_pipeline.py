@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import ARROW_ROWS, Scratch, documents, passing_tables, small_batches
+from tillstone.llm.common import SMALL_BATCHES, Scratch, documents, passing_tables, small_batches
 from tillstone.llm.decontaminate import without_contaminated
 from tillstone.llm.exact_dedup import without_copies
 from tillstone.llm.near_dedup import without_near_copies
@@ -25,6 +25,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are equal but for white space, the longest stays."""
+    small_batches(spark)
     return without_copies(docs)
 
 
@@ -33,16 +34,19 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that share an id are judged each by its own text.
     """
+    small_batches(spark)
     return without_near_copies(docs, words=5, percent=85, whole_ids=False)  # the number that tests/llm/test_pipeline.py holds it to
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lie in a benchmark window."""
+    small_batches(spark)
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents that are left, with their places in sequences of at most 1024 tokens."""
+    small_batches(spark)
     return pack(token_pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
@@ -62,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in a row. What a stage stores on its way is removed once its result is written."""
     docs = documents(spark, sf_dir)
     scratch = Scratch(spark, "pipeline")
-    rows = spark.conf.get(ARROW_ROWS)
+    before = {name: spark.conf.get(name, None) for name in SMALL_BATCHES}
     try:
         for k, (name, stage) in enumerate(STAGES):
             with passing_tables():
@@ -70,5 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             if k:
                 scratch.drop(STAGES[k - 1][0])
     finally:
-        spark.conf.set(ARROW_ROWS, rows)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return docs

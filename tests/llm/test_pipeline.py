@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_decontaminate import brute as leaked
 from tests.llm.test_near_dedup import brute as linked
+from tillstone.llm.common import SMALL_BATCHES
 from tillstone.sources.paths import child_names
 
 SF = "/root/testdata/sf0.001"
@@ -102,6 +104,30 @@ def test_run_on_an_empty_table(spark, odd, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_a_stage_hands_whole_texts_on_in_small_batches(spark, odd, conf, name):
+    folder, docs = odd
+    conf(**{k.replace(".", "__"): "1" for k in SMALL_BATCHES})  # to be set back afterwards
+    for k in SMALL_BATCHES:
+        spark.conf.unset(k)
+    dict(corpus_pipeline.STAGES)[name](spark, docs.limit(0), folder)
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 4000).alias("text"))
+    assert texts.mapInArrow(held, "n long").agg(F.max("n")).first()[0] < 3_000_000
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+
+
+def test_a_stage_leaves_batches_alone_that_the_session_sets(spark, odd, conf):
+    folder, docs = odd
+    conf(**{k.replace(".", "__"): "7" for k in SMALL_BATCHES})
+    dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs.limit(0), folder)
+    assert {spark.conf.get(k) for k in SMALL_BATCHES} == {"7"}
+
+
 def test_run_leaves_its_result_alone_behind_and_the_session_as_it_was(spark, odd):
     folder, _ = odd
     shared, option = spark.conf.get("spark.checkpoint.dir"), "spark.sql.execution.arrow.maxRecordsPerBatch"

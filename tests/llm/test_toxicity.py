@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 
 from tillstone.llm import toxicity
+from tillstone.llm.learning import brought_within
 from tillstone.llm.toxicity import Evidence, Network, Options, scored, toxicity_model, train, without_toxic
 
 CLEAN = "the stone river walks under bright morning clouds and green hills carry quiet songs über été".split()
@@ -136,3 +137,10 @@ def test_a_task_that_scores_needs_no_pandas():
     """Every Python worker of an executor would hold it."""
     code = "import sys; from tillstone.llm import toxicity as t; t.train(['a b', 'c'], [0, 1]).scores(['a']); sys.exit('pandas' in sys.modules)"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[2])
+
+
+def test_the_sample_is_brought_without_python_on_the_executors(spark, monkeypatch):
+    rows = spark.sql("SELECT * FROM VALUES (1, 'one', 0), (2, 'three', 1), (2, 'three', 1), (3, null, 0) AS t(id, text, label)")
+    monkeypatch.setattr(spark.sparkContext, "pythonExec", "/no/python")
+    assert sorted(map(tuple, brought_within(rows, 10, 100))) == [("", 0), ("one", 0), ("three", 1)]
+    assert brought_within(rows.filter("id > 3"), 10, 100) == []

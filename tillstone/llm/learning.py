@@ -51,8 +51,9 @@ def brought_within(rows: DataFrame, sample: int, letters: int) -> list:
     for h, n in stored.select("h", F.length("text")).orderBy("h").limit(sample).collect():
         if n <= letters:
             letters -= n
-            taken.append((h,))
-    wanted = rows.sparkSession.createDataFrame(taken, "h long")
+            taken.append(h)
+    # an Arrow table needs no Python on the executors; rows would start a second daemon with workers of its own there
+    wanted = rows.sparkSession.createDataFrame(pa.table({"h": pa.array(taken, pa.int64())}))
     found = stored.join(F.broadcast(wanted), "h").select("text", "label").collect()  # wanted: at most `sample` numbers
     scratch.drop("rows")
     return found
