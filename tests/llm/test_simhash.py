@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstone.llm.common import Scratch
 from tillstone.llm.queries import QUERIES
-from tillstone.llm.simhash import embedded, fingerprint, links, simhash_classes
+from tillstone.llm.simhash import embedded, fingerprint, links, simhash_classes, star_links
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -119,6 +119,16 @@ def test_crowded_cells_are_dealt_to_blocks(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_no_exploded_table_is_broadcast(spark):
+    """A stored table's size is known, and so small that Spark would broadcast what is exploded from it."""
+    scratch = Scratch(spark, "test")
+    prints = scratch.store(spark.createDataFrame([(_signed(p),) for p in _prints(5, 300)], "fp long"), "prints")
+    for found in (star_links(prints, 4), links(prints, 4, scratch), links(prints, 4, scratch, most=3)):
+        assert found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and not re.search(r"(Broadcast|Shuffled)HashJoin .*, Inner", plan)
+
+
 def test_embedding_bounds_the_differing_bits(spark):
     values = _prints(7, 60)
     table = spark.createDataFrame([(_signed(p),) for p in values], "fp long").select("fp", embedded(F.col("fp")).alias("e"))

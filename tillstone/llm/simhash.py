@@ -113,18 +113,19 @@ def star_links(prints: DataFrame, distance: int) -> DataFrame:
     """(a, b): a pivot and a fingerprint within distance bits of it, for each place in a part and in half a part.
 
     The pivot is the fingerprint whose own places are the most crowded: among near copies it is near most of them.
-    Linear in the number of fingerprints however many share a place.
+    Linear in the number of fingerprints however many share a place. Spark sizes an exploded table by the row before,
+    so joins of one are told to merge: they would broadcast it at a multiple of the threshold.
     """
     count = distance // 3 + 1
     masks = F.array(*[F.struct(F.lit(k).alias("part"), F.lit(_signed(m)).alias("mask")) for k, m in enumerate(_masks(count) + _masks(2 * count))])
     placed = prints.select("fp", embedded(F.col("fp")).alias("p"), F.explode(masks).alias("m"))
     placed = placed.select("fp", F.col("m.part").alias("part"), F.col("p").bitwiseAND(F.col("m.mask")).alias("own"))
     crowds = placed.groupBy("part", "own").agg(F.count(F.lit(1)).alias("n"))
-    weights = placed.join(crowds, ["part", "own"]).groupBy("fp").agg(F.sum("n").alias("weight"))
+    weights = placed.join(crowds.hint("merge"), ["part", "own"]).groupBy("fp").agg(F.sum("n").alias("weight"))
     heaviest = F.max(F.struct("weight", F.xxhash64("fp"), "fp"))["fp"]
-    pivots = placed.join(weights, "fp").groupBy("part", "own").agg(heaviest.alias("pivot"))
+    pivots = placed.join(weights.hint("merge"), "fp").groupBy("part", "own").agg(heaviest.alias("pivot"))
     near = (F.col("fp") != F.col("pivot")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= distance)
-    return placed.join(pivots, ["part", "own"]).filter(near).select(F.col("pivot").alias("a"), F.col("fp").alias("b")).distinct()
+    return placed.join(pivots.hint("merge"), ["part", "own"]).filter(near).select(F.col("pivot").alias("a"), F.col("fp").alias("b")).distinct()
 
 
 def _steps(distance: int):
@@ -171,6 +172,7 @@ def _cells(prints: DataFrame, distance: int) -> DataFrame:
 
 
 def _pairs(cells: DataFrame, keys: list[str], distance: int, more=None) -> DataFrame:
+    """The labels of cells that meet in all keys and are near; merged, because Spark sizes the exploded cells too low to broadcast."""
     a, b = cells.alias("a"), cells.alias("b")
     near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance
     # places that are equal meet in all their cells; only the own one counts
@@ -179,7 +181,7 @@ def _pairs(cells: DataFrame, keys: list[str], distance: int, more=None) -> DataF
     on = (F.col("a.fp") < F.col("b.fp")) & (F.col("a.label") != F.col("b.label")) & near & once
     for term in same:
         on = on & term
-    joined = a.join(b, on if more is None else on & more)
+    joined = a.join(b.hint("merge"), on if more is None else on & more)
     return joined.select(F.least("a.label", "b.label").alias("a"), F.greatest("a.label", "b.label").alias("b")).distinct()
 
 
